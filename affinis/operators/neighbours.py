@@ -56,7 +56,7 @@ def co_rating_sums(
         return _total(terms).filter(F.col("n") >= min_support)
 
     common = rows.join(broadcast_if_small(hot, found), "f")
-    left_out = common.groupBy("id").agg(F.max(F.struct("n", "f", "r")).alias("top")).select("id", "top.f", "top.r")
+    left_out = common.groupBy("id").agg(F.max(F.struct("_n", "f", "r")).alias("top")).select("id", "top.f", "top.r")
     indexed = rows.join(left_out.select("id", "f"), ["id", "f"], "left_anti")
     common_indexed = common.join(left_out.select("id", "f"), ["id", "f"], "left_anti")
 

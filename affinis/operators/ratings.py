@@ -41,7 +41,7 @@ def element_sets(ratings: DataFrame, entity: str, element: str, chunk: int = SET
     found = hot.count()
     part = F.lit(0).cast("bigint")
     if found:
-        hot = hot.select("id", F.ceil(F.col("n") / chunk).cast("bigint").alias("parts"))
+        hot = hot.select("id", F.ceil(F.col("_n") / chunk).cast("bigint").alias("parts"))
         members = members.join(broadcast_if_small(hot, found), "id", "left")
         part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(element_hash(F.col("e")), F.col("parts")))
     sets = members.groupBy("id", part.alias("part")).agg(F.array_sort(F.collect_set("e")).alias("elements"))

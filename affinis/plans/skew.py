@@ -23,9 +23,20 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def by_key(df: DataFrame, on: list[str]) -> DataFrame:
+    """Hash-partitioned on ``on`` into as many partitions as the session has for shuffles.
+
+    For joins that make far more rows than they read: Spark would merge small
+    input partitions, and with them the tasks that make the rows.
+    """
+    spark = df.sparkSession
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(partitions, *on)
+
+
 def hot_groups(rows: DataFrame, on: list[str], limit: int) -> DataFrame:
-    """Groups of ``on`` holding more than ``limit`` rows: ``on..., n``."""
-    return rows.groupBy(*on).agg(F.count("*").alias("n")).filter(F.col("n") > limit)
+    """Groups of ``on`` holding more than ``limit`` rows: ``on..., _n``."""
+    return rows.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
 
 
 def _grid_join(left, right, on, hot: DataFrame) -> DataFrame:
@@ -44,9 +55,10 @@ def _grid_join(left, right, on, hot: DataFrame) -> DataFrame:
             .select(*side.columns, spot.alias(own), F.explode(copies).alias(other))
         )
 
-    placed_left = place(left, "_row", "_rows", "_col", "_cols")
-    placed_right = place(right, "_col", "_cols", "_row", "_rows")
-    return placed_left.join(placed_right, [*on, "_row", "_col"]).drop("_row", "_col")
+    cell = [*on, "_row", "_col"]
+    placed_left = by_key(place(left, "_row", "_rows", "_col", "_cols"), cell)
+    placed_right = by_key(place(right, "_col", "_cols", "_row", "_rows"), cell)
+    return placed_left.join(placed_right, cell).drop("_row", "_col")
 
 
 def _cells(n: Column, limit: int) -> Column:
@@ -67,6 +79,13 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], limit: int = GR
     return _grid_join(left, right, on, hot)
 
 
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], limit: int = GROUP_LIMIT) -> DataFrame:
+    """``split_join`` for a right side with one row per ``on``; only the left side is counted."""
+    hot = hot_groups(left, on, limit)
+    hot = hot.select(*on, _cells(F.col("_n"), limit).alias("_rows"), F.lit(1).cast("bigint").alias("_cols"))
+    return _grid_join(left, right, on, hot)
+
+
 def pair_join(
     rows: DataFrame,
     on: list[str],
@@ -81,14 +100,16 @@ def pair_join(
     ``limit=None`` skips it where the groups are known to be within bounds.
     """
     payload = payload or {}
+    # Both sides read one shuffle.
+    dealt = by_key(rows.select(*on, id_column, *payload), on)
     sides = [
-        rows.select(*on, F.col(id_column).alias(f"id{s + 1}"), *[F.col(c).alias(n[s]) for c, n in payload.items()])
+        dealt.select(*on, F.col(id_column).alias(f"id{s + 1}"), *[F.col(c).alias(n[s]) for c, n in payload.items()])
         for s in (0, 1)
     ]
     if limit is None:
         joined = sides[0].join(sides[1], on)
     else:
-        size = _cells(F.col("n"), limit)
+        size = _cells(F.col("_n"), limit)
         hot = hot_groups(rows, on, limit).select(*on, size.alias("_rows"), size.alias("_cols"))
         joined = _grid_join(sides[0], sides[1], on, hot)
     return joined.filter("id1 < id2")

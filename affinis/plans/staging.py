@@ -40,3 +40,13 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores where a scan has fewer partitions than there are cores.
+
+    For costly per-row work on few or unsplittable files; a scan of many
+    partitions is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from affinis.functions.text import word_shingles
 from affinis.operators.jaccard import distinct_members
 from affinis.operators.ratings import one_rating_per_pair
+from affinis.plans.staging import spread
 
 # Orders from this day on are the hold-out.
 HOLDOUT_FROM = "2000-12-01"
@@ -53,17 +54,19 @@ def customers_of_suppliers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def markets_of_suppliers(spark: SparkSession, folder: str) -> DataFrame:
-    """``id`` = supplier, ``element`` = nation of the customer and brand of the part."""
+    """``id`` = supplier, ``element`` = nation of the customer and brand of the part, as one number."""
     lines = _ordered_lines(spark, folder)
     customers = table(spark, folder, "customer")
     parts = table(spark, folder, "part")
     rows = lines.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
         parts, F.col("l_partkey") == F.col("p_partkey")
     )
-    market = F.concat_ws("/", F.col("c_nationkey").cast("string"), F.col("p_brand"))
+    brand = F.substring_index("p_brand", "#", -1).cast("bigint")
+    market = F.col("c_nationkey") * 1000 + brand
     return distinct_members(rows.select("l_suppkey", market.alias("market")), "l_suppkey", "market")
 
 
 def document_shingles(spark: SparkSession, folder: str) -> DataFrame:
     """``id`` = document, ``element`` = run of three words."""
-    return word_shingles(table(spark, folder, "documents"), "doc_id", "text")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return word_shingles(spread(documents), "doc_id", "text")
