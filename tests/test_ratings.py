@@ -1,0 +1,77 @@
+import pytest
+
+from affinis.operators.ratings import element_sets, mean_rating, one_rating_per_pair, train_minus_test
+from affinis.sources import read_ratings, write_sorted
+
+from .conftest import tuples
+
+
+def test_repeated_pair_keeps_highest_rating(ratings):
+    df = ratings([(1, 1, 2.0), (1, 1, 4.0), (1, 2, 1.0)])
+    assert tuples(one_rating_per_pair(df), "user", "item", "rating") == [(1, 1, 4.0), (1, 2, 1.0)]
+
+
+def test_test_pairs_leave_the_train_set_whatever_their_rating(ratings):
+    train = ratings([(1, 1, 2.0), (1, 2, 3.0), (2, 1, 5.0)])
+    test = ratings([(1, 1, 4.0), (9, 9, 1.0)])
+    assert tuples(train_minus_test(train, test), "user", "item", "rating") == [(1, 2, 3.0), (2, 1, 5.0)]
+
+
+def test_empty_inputs(ratings):
+    full, empty = ratings([(1, 1, 2.0)]), ratings([])
+    assert train_minus_test(empty, full).count() == 0
+    assert train_minus_test(full, empty).count() == 1
+    assert mean_rating(empty, "user").count() == 0
+    assert element_sets(empty, "user", "item").count() == 0
+
+
+def test_means(ratings):
+    df = ratings([(1, 1, 2.0), (1, 2, 5.0), (2, 1, 4.0)])
+    assert tuples(mean_rating(df, "user"), "id", "n", "mean") == [(1, 2, 3.5), (2, 1, 4.0)]
+    assert tuples(mean_rating(df, "item"), "id", "n", "mean") == [(1, 2, 3.0), (2, 1, 5.0)]
+
+
+def test_sets_are_sorted_and_long_ones_are_cut(ratings):
+    rows = [(1, i, 1.0) for i in range(50)] + [(2, 7, 1.0), (2, 3, 1.0)]
+    whole = element_sets(ratings(rows), "user", "item").collect()
+    assert {r.id: r.elements for r in whole} == {1: list(range(50)), 2: [3, 7]}
+    cut = element_sets(ratings(rows), "user", "item", chunk=10).collect()
+    parts = [r for r in cut if r.id == 1]
+    assert {r.part for r in parts} <= set(range(5)) and len(parts) > 1
+    assert all(r.n == len(r.elements) and r.elements == sorted(r.elements) for r in cut)
+    assert sorted(e for r in parts for e in r.elements) == list(range(50))
+    assert [r.elements for r in cut if r.id == 2] == [[3, 7]]
+
+
+def test_csv_with_header_and_extra_column(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("userID,productID,rating,time\n1,2,3.5,99\n4,5,1.0,98\n")
+    df = read_ratings(spark, str(tmp_path / "a.csv"), extra_columns=1)
+    assert tuples(df, "user", "item", "rating") == [(1, 2, 3.5), (4, 5, 1.0)]
+
+
+def test_every_line_with_the_header_text_is_dropped(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("userID,productID,rating\n1,2,3.5\nuserID,productID,rating\n4,5,1.0\n")
+    df = read_ratings(spark, str(tmp_path / "a.csv"), skip_lines_with="userID")
+    assert tuples(df, "user", "item", "rating") == [(1, 2, 3.5), (4, 5, 1.0)]
+
+
+def test_malformed_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("userID,productID,rating\n1,2,3.5\n4,x,1.0\n")
+    path = str(tmp_path / "a.csv")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_ratings(spark, path).collect()
+    assert tuples(read_ratings(spark, path, mode="DROPMALFORMED"), "user", "item") == [(1, 2)]
+    dropped = read_ratings(spark, path, skip_lines_with="userID", mode="DROPMALFORMED")
+    assert tuples(dropped, "user", "item") == [(1, 2)]
+
+
+def test_sorted_files_are_one_sequence(spark, ratings, tmp_path):
+    rows = [((i * 37) % 101, (i * 11) % 7, float(i)) for i in range(500)]
+    out = tmp_path / "out"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_sorted(ratings(rows), str(out), ["user", "item"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    lines = [line for part in sorted(out.glob("part-*")) for line in part.read_text().splitlines()]
+    keys = [tuple(map(int, line.split(",")[:2])) for line in lines]
+    assert len(lines) == 500 and keys == sorted(keys)
+    assert len(list(out.glob("part-*"))) > 1
