@@ -24,5 +24,5 @@ def element_hash(element: Column) -> Column:
     return F.conv(F.substring(F.md5(element.cast("string").cast("binary")), 1, 7), 16, 10).cast("bigint")
 
 
-def linear_hash(x: Column, a: int, b: int) -> Column:
-    return (x * F.lit(a).cast("bigint") + F.lit(b).cast("bigint")) % F.lit(PRIME).cast("bigint")
+def linear_hash(column: str, a: int, b: int) -> Column:
+    return F.expr(f"(`{column}` * {a}L + {b}L) % {PRIME}L")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinis.plans.skew import GROUP_LIMIT, split_join
+from affinis.plans.skew import GROUP_LIMIT, grid_join
+from affinis.plans.staging import stage
 
 
 def both_directions(weights: DataFrame) -> DataFrame:
@@ -27,18 +28,23 @@ def neighbour_sums(
     cheaper of two ways: through the values in its context, or through the
     neighbours of its pivot.  A popular context or a pivot with many
     neighbours is thus never multiplied out against the other side.
-    Runs counting jobs; give staged inputs.
+    Runs a staging and two counting jobs; give staged inputs.
     """
     in_context = rated.groupBy("context").agg(F.count("*").alias("values"))
     of_pivot = weights.groupBy("pivot").agg(F.count("*").alias("neighbours"))
-    routed = targets.join(in_context, "context").join(of_pivot, "pivot")
-    by_context = routed.filter("values <= neighbours").select("pivot", "context")
-    by_pivot = routed.filter("values > neighbours").select("pivot", "context")
+    routed = stage(targets.join(in_context, "context").join(of_pivot, "pivot"))
     columns = ["pivot", "context", "value", "w"]
+
+    def fan_out(way: DataFrame, side: DataFrame, key: str, size: str) -> DataFrame:
+        sizes = way.groupBy(key).agg(F.count("*").alias("l"), F.first(size).alias("r"))
+        return grid_join(way.select("pivot", "context"), side, [key], sizes, limit)
+
+    by_context = fan_out(routed.filter("values <= neighbours"), rated, "context", "values")
+    by_pivot = fan_out(routed.filter("values > neighbours"), weights, "pivot", "neighbours")
     met = (
-        split_join(by_context, rated, ["context"], limit).join(weights, ["pivot", "neighbour"]).select(*columns)
-    ).unionByName(
-        split_join(by_pivot, weights, ["pivot"], limit).join(rated, ["neighbour", "context"]).select(*columns)
+        by_context.join(weights, ["pivot", "neighbour"])
+        .select(*columns)
+        .unionByName(by_pivot.join(rated, ["neighbour", "context"]).select(*columns))
     )
     return met.groupBy("pivot", "context").agg(
         F.sum(F.col("value") * F.col("w")).alias("num"),

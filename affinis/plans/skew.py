@@ -39,8 +39,14 @@ def hot_groups(rows: DataFrame, on: list[str], limit: int) -> DataFrame:
     return rows.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
 
 
-def _grid_join(left, right, on, hot: DataFrame) -> DataFrame:
-    """Join through cells; ``hot`` has ``on..., _rows, _cols`` for hot groups only."""
+def _cells(n: Column, limit: int) -> Column:
+    return F.ceil(n / limit).cast("bigint")
+
+
+def grid_join(left: DataFrame, right: DataFrame, on: list[str], sizes: DataFrame, limit: int) -> DataFrame:
+    """Inner join through cells; ``sizes`` has ``on..., l, r``, the rows of each group per side."""
+    hot = sizes.filter((F.col("l") > limit) | (F.col("r") > limit))
+    hot = hot.select(*on, _cells(F.col("l"), limit).alias("_rows"), _cells(F.col("r"), limit).alias("_cols"))
     found = hot.count()
     if not found:
         return left.join(right, on)
@@ -61,10 +67,6 @@ def _grid_join(left, right, on, hot: DataFrame) -> DataFrame:
     return placed_left.join(placed_right, cell).drop("_row", "_col")
 
 
-def _cells(n: Column, limit: int) -> Column:
-    return F.ceil(n / limit).cast("bigint")
-
-
 def split_join(left: DataFrame, right: DataFrame, on: list[str], limit: int = GROUP_LIMIT) -> DataFrame:
     """Inner join on ``on`` with hot groups of either side split.
 
@@ -74,16 +76,19 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], limit: int = GR
         right.select(*on, F.lit(0).alias("l"), F.lit(1).alias("r"))
     )
     sizes = tagged.groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    hot = sizes.filter("l > 0 and r > 0").filter((F.col("l") > limit) | (F.col("r") > limit))
-    hot = hot.select(*on, _cells(F.col("l"), limit).alias("_rows"), _cells(F.col("r"), limit).alias("_cols"))
-    return _grid_join(left, right, on, hot)
+    return grid_join(left, right, on, sizes.filter("l > 0 and r > 0"), limit)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: list[str], limit: int = GROUP_LIMIT) -> DataFrame:
-    """``split_join`` for a right side with one row per ``on``; only the left side is counted."""
-    hot = hot_groups(left, on, limit)
-    hot = hot.select(*on, _cells(F.col("_n"), limit).alias("_rows"), F.lit(1).cast("bigint").alias("_cols"))
-    return _grid_join(left, right, on, hot)
+def lookup_join(
+    left: DataFrame, right: DataFrame, on: list[str], limit: int = GROUP_LIMIT, counted: DataFrame | None = None
+) -> DataFrame:
+    """``split_join`` for a right side with one row per ``on``; only the left side is counted.
+
+    ``counted`` is a frame with the same ``on`` values as ``left`` that is cheaper to read.
+    """
+    rows = left if counted is None else counted
+    sizes = rows.groupBy(*on).agg(F.count("*").alias("l"), F.lit(1).cast("bigint").alias("r"))
+    return grid_join(left, right, on, sizes, limit)
 
 
 def pair_join(
@@ -109,7 +114,6 @@ def pair_join(
     if limit is None:
         joined = sides[0].join(sides[1], on)
     else:
-        size = _cells(F.col("_n"), limit)
-        hot = hot_groups(rows, on, limit).select(*on, size.alias("_rows"), size.alias("_cols"))
-        joined = _grid_join(sides[0], sides[1], on, hot)
+        sizes = rows.groupBy(*on).agg(F.count("*").alias("l")).withColumn("r", F.col("l"))
+        joined = grid_join(sides[0], sides[1], on, sizes, limit)
     return joined.filter("id1 < id2")
