@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinis.plans.skew import GROUP_LIMIT, grid_join
+from affinis.plans.skew import GROUP_LIMIT, grid_join, hot_cells
 from affinis.plans.staging import stage
 
 
@@ -37,7 +37,7 @@ def neighbour_sums(
 
     def fan_out(way: DataFrame, side: DataFrame, key: str, size: str) -> DataFrame:
         sizes = way.groupBy(key).agg(F.count("*").alias("l"), F.first(size).alias("r"))
-        return grid_join(way.select("pivot", "context"), side, [key], sizes, limit)
+        return grid_join(way.select("pivot", "context"), side, [key], hot_cells(sizes, [key], limit))
 
     by_context = fan_out(routed.filter("values <= neighbours"), rated, "context", "values")
     by_pivot = fan_out(routed.filter("values > neighbours"), weights, "pivot", "neighbours")

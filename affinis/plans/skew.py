@@ -43,23 +43,27 @@ def _cells(n: Column, limit: int) -> Column:
     return F.ceil(n / limit).cast("bigint")
 
 
-def grid_join(left: DataFrame, right: DataFrame, on: list[str], sizes: DataFrame, limit: int) -> DataFrame:
-    """Inner join through cells; ``sizes`` has ``on..., l, r``, the rows of each group per side."""
+def hot_cells(sizes: DataFrame, on: list[str], limit: int) -> DataFrame | None:
+    """Groups to be split as ``on..., _rows, _cols``, or None; runs a counting job.
+
+    ``sizes`` has ``on..., l, r``, the rows of each group per side.
+    """
     hot = sizes.filter((F.col("l") > limit) | (F.col("r") > limit))
     hot = hot.select(*on, _cells(F.col("l"), limit).alias("_rows"), _cells(F.col("r"), limit).alias("_cols"))
     found = hot.count()
-    if not found:
+    return broadcast_if_small(hot, found) if found else None
+
+
+def grid_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame | None) -> DataFrame:
+    """Inner join with the groups of ``hot`` split into cells."""
+    if hot is None:
         return left.join(right, on)
-    hot = broadcast_if_small(hot, found)
 
     def place(side: DataFrame, own: str, own_size: str, other: str, other_size: str) -> DataFrame:
         payload = [F.col(c) for c in side.columns if c not in on]
         spot = F.pmod(F.xxhash64(*payload), F.coalesce(F.col(own_size), F.lit(1)))
         copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(other_size), F.lit(1)) - 1)
-        return (
-            side.join(hot, on, "left")
-            .select(*side.columns, spot.alias(own), F.explode(copies).alias(other))
-        )
+        return side.join(hot, on, "left").select(*side.columns, spot.alias(own), F.explode(copies).alias(other))
 
     cell = [*on, "_row", "_col"]
     placed_left = by_key(place(left, "_row", "_rows", "_col", "_cols"), cell)
@@ -76,7 +80,7 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], limit: int = GR
         right.select(*on, F.lit(0).alias("l"), F.lit(1).alias("r"))
     )
     sizes = tagged.groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    return grid_join(left, right, on, sizes.filter("l > 0 and r > 0"), limit)
+    return grid_join(left, right, on, hot_cells(sizes.filter("l > 0 and r > 0"), on, limit))
 
 
 def lookup_join(
@@ -88,7 +92,7 @@ def lookup_join(
     """
     rows = left if counted is None else counted
     sizes = rows.groupBy(*on).agg(F.count("*").alias("l"), F.lit(1).cast("bigint").alias("r"))
-    return grid_join(left, right, on, sizes, limit)
+    return grid_join(left, right, on, hot_cells(sizes, on, limit))
 
 
 def pair_join(
@@ -105,15 +109,16 @@ def pair_join(
     ``limit=None`` skips it where the groups are known to be within bounds.
     """
     payload = payload or {}
-    # Both sides read one shuffle.
-    dealt = by_key(rows.select(*on, id_column, *payload), on)
-    sides = [
-        dealt.select(*on, F.col(id_column).alias(f"id{s + 1}"), *[F.col(c).alias(n[s]) for c, n in payload.items()])
-        for s in (0, 1)
-    ]
-    if limit is None:
-        joined = sides[0].join(sides[1], on)
-    else:
+    rows = rows.select(*on, id_column, *payload)
+    hot = None
+    if limit is not None:
         sizes = rows.groupBy(*on).agg(F.count("*").alias("l")).withColumn("r", F.col("l"))
-        joined = grid_join(sides[0], sides[1], on, sizes, limit)
-    return joined.filter("id1 < id2")
+        hot = hot_cells(sizes, on, limit)
+    if hot is None:
+        # Both sides read one shuffle.
+        rows = by_key(rows, on)
+    left, right = (
+        rows.select(*on, F.col(id_column).alias(f"id{s + 1}"), *[F.col(c).alias(n[s]) for c, n in payload.items()])
+        for s in (0, 1)
+    )
+    return grid_join(left, right, on, hot).filter("id1 < id2")

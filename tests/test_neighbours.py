@@ -53,7 +53,7 @@ def test_constant_or_uncorrelated_or_single_gives_no_weight(ratings):
         assert user_pearson(ratings(rows)).count() == 0
 
 
-@pytest.mark.parametrize("limit", [1, 3, 8, 15, 20, 10_000])
+@pytest.mark.parametrize("limit", [1, 8, 20, 10_000])
 @pytest.mark.parametrize("entity,feature", [("user", "item"), ("item", "user")])
 def test_weights_with_and_without_hot_features(ratings, limit, entity, feature):
     rows = random_ratings(7)
