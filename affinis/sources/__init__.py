@@ -1,5 +1,5 @@
 """Reading ratings and writing sorted results."""
 
-from affinis.sources.csv import RATING_SCHEMA, read_ratings, write_sorted
+from affinis.sources.csv import RATING_SCHEMA, read_pairs, read_ratings, write_sorted
 
-__all__ = ["RATING_SCHEMA", "read_ratings", "write_sorted"]
+__all__ = ["RATING_SCHEMA", "read_pairs", "read_ratings", "write_sorted"]

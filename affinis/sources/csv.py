@@ -39,6 +39,12 @@ def read_ratings(
     return rows.select("user", "item", "rating")
 
 
+def read_pairs(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """Known pairs ``a,b`` in either order as distinct ``id1 < id2``, such as a ground truth."""
+    rows = spark.read.schema("a BIGINT, b BIGINT").option("header", header).option("mode", "FAILFAST").csv(path)
+    return rows.filter("a <> b").select(F.least("a", "b").alias("id1"), F.greatest("a", "b").alias("id2")).distinct()
+
+
 def write_sorted(df: DataFrame, path: str, keys: list[str], header: bool = False) -> None:
     """Write ``df`` as CSV in total order of ``keys``.
 

@@ -205,7 +205,7 @@ ORACLE["predict_item_based"] = _with(TRAIN, ITEM_WEIGHTS, ITEM_BASED) + _show("i
 ORACLE["predict_item_based_lsh"] = _with(LSH_WEIGHTS, ITEM_BASED) + _show("item_based")
 ORACLE["predict_user_mean"] = _with(TRAIN, USER_MEAN) + _show("user_mean")
 ORACLE["predict_item_mean"] = _with(TRAIN, ITEM_MEAN) + _show("item_mean")
-ORACLE["write_sorted_predictions"] = (
+ORACLE["write_sorted"] = (
     _with(TRAIN, ITEM_MEAN) + f'SELECT "user", item, {_r("prediction", "prediction")} FROM item_mean'
 )
 

@@ -17,7 +17,7 @@ from affinis.operators import evaluation, factorization, jaccard, minhash, neigh
 from affinis.operators import ratings as rating_ops
 from affinis.plans import stage
 from affinis.plans.staging import shared_folder
-from affinis.sources import read_ratings, tables, write_sorted
+from affinis.sources import csv, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -65,7 +65,7 @@ def ratings_from_csv(spark, folder):
         F.col("user").alias("userID"), F.col("item").alias("productID"), "rating", F.lit(0).alias("time")
     )
     lines.write.option("header", True).csv(path)
-    return comparable(read_ratings(spark, path, extra_columns=1))
+    return comparable(csv.read_ratings(spark, path, extra_columns=1))
 
 
 @query
@@ -225,10 +225,11 @@ def predict_item_mean(spark, folder):
 
 
 @query
-def write_sorted_predictions(spark, folder):
+def write_sorted(spark, folder):
     train, test = _split(spark, folder)
     path = f"{shared_folder(spark)}/predictions-{uuid.uuid4().hex}"
-    write_sorted(predict.predict_mean(train, test, "item").select("user", "item", "prediction"), path, ["user", "item"])
+    predictions = predict.predict_mean(train, test, "item").select("user", "item", "prediction")
+    csv.write_sorted(predictions, path, ["user", "item"])
     return comparable(spark.read.schema("user BIGINT, item BIGINT, prediction DOUBLE").csv(path))
 
 

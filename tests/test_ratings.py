@@ -1,7 +1,7 @@
 import pytest
 
 from affinis.operators.ratings import element_sets, mean_rating, one_rating_per_pair, train_minus_test
-from affinis.sources import read_ratings, write_sorted
+from affinis.sources import read_pairs, read_ratings, write_sorted
 
 from .conftest import tuples
 
@@ -65,6 +65,11 @@ def test_malformed_lines(spark, tmp_path):
     assert tuples(dropped, "user", "item") == [(1, 2)]
 
 
+def test_known_pairs_are_put_in_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n2,1\n1,2\n5,9\n4,4\n")
+    assert tuples(read_pairs(spark, str(tmp_path / "a.csv")), "id1", "id2") == [(1, 2), (5, 9)]
+
+
 def test_sorted_files_are_one_sequence(spark, ratings, tmp_path):
     rows = [((i * 37) % 101, (i * 11) % 7, float(i)) for i in range(500)]
     out = tmp_path / "out"
