@@ -41,7 +41,8 @@ def co_rating_sums(
     pair.  Runs one counting job.  Features with more than ``limit`` ratings are
     hot, and most pairs of their raters have nothing else in common.  So each
     entity leaves its most common hot feature out of the join: two entities
-    that share two features still meet in the other one.  The ratings left out are
+    that share two features still meet in one of them (both rank features alike,
+    so they never leave out two different common ones).  The ratings left out are
     then looked up for the pairs that met.  With one hot feature none of its
     pairs is generated by itself; with several, a pair that meets in a hot
     feature shares at least that one, and the groups are split into cells.
@@ -123,8 +124,9 @@ def pearson(sums: DataFrame, tolerance: float = 0.0) -> DataFrame:
     vx = n * F.col("sxx") - F.col("sx") * F.col("sx")
     vy = n * F.col("syy") - F.col("sy") * F.col("sy")
     floor_x, floor_y = n * F.col("sxx") * tolerance, n * F.col("syy") * tolerance
+    moments = {"cov": cov, "vx": vx, "vy": vy, "fx": floor_x, "fy": floor_y}
     return (
-        sums.select("id1", "id2", "n", cov.alias("cov"), vx.alias("vx"), vy.alias("vy"), floor_x.alias("fx"), floor_y.alias("fy"))
+        sums.select("id1", "id2", "n", *[value.alias(name) for name, value in moments.items()])
         .filter("vx > fx and vy > fy and abs(cov) > sqrt(fx * fy)")
         .select("id1", "id2", "n", (F.col("cov") / F.sqrt(F.col("vx") * F.col("vy"))).alias("w"))
     )

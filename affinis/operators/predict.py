@@ -94,7 +94,9 @@ def predict_user_based(
     """
     targets = targets.select("user", "item").distinct()
     centred = train.join(_means(train, "user", "mean"), "user").select(
-        F.col("user").alias("neighbour"), F.col("item").alias("context"), (F.col("rating") - F.col("mean")).alias("value")
+        F.col("user").alias("neighbour"),
+        F.col("item").alias("context"),
+        (F.col("rating") - F.col("mean")).alias("value"),
     )
     sums = neighbour_sums(
         targets.select(F.col("user").alias("pivot"), F.col("item").alias("context")),

@@ -86,12 +86,12 @@ def item_mean(spark, folder):
 
 @query
 def user_item_sets(spark, folder):
-    return comparable(rating_ops.element_sets(tables.ratings(spark, folder), "user", "item"))
+    return comparable(rating_ops.element_sets(stage(tables.ratings(spark, folder)), "user", "item"))
 
 
 @query
 def item_user_sets(spark, folder):
-    return comparable(rating_ops.element_sets(tables.ratings(spark, folder), "item", "user"))
+    return comparable(rating_ops.element_sets(stage(tables.ratings(spark, folder)), "item", "user"))
 
 
 # Set similarity
