@@ -75,7 +75,8 @@ def test_outliers_take_the_mean(predictions):
 def test_als_is_repeatable_and_learns(ratings):
     rows = [(u, i, float(1 + (u + i) % 2 * 4)) for u in range(20) for i in range(20) if (u * 7 + i * 3) % 5]
     train = ratings(rows)
-    targets = ratings([(u, i, float(1 + (u + i) % 2 * 4)) for u in range(20) for i in range(20) if not (u * 7 + i * 3) % 5])
+    left = [(u, i, float(1 + (u + i) % 2 * 4)) for u in range(20) for i in range(20) if not (u * 7 + i * 3) % 5]
+    targets = ratings(left)
     cold = targets.union(ratings([(99, 1, 3.0), (1, 99, 3.0)]))
     model = A.fit_als(train, blocks=2)
     scored = A.als_predictions(model, cold)

@@ -47,7 +47,7 @@ def test_proportional_and_inverse_users(ratings):
 def test_constant_or_uncorrelated_or_single_gives_no_weight(ratings):
     constant = [(1, 0, 3.0), (1, 1, 3.0), (2, 0, 1.0), (2, 1, 5.0)]
     uncorrelated = [(1, 0, 1.0), (1, 1, 2.0), (1, 2, 1.0), (2, 0, 1.0), (2, 1, 1.0), (2, 2, 1.0)]
-    zero = [(1, i, float(r)) for i, r in enumerate((1, 2, 1, 2))] + [(2, i, float(r)) for i, r in enumerate((1, 1, 2, 2))]
+    zero = [(u, i, float(r)) for u, rs in ((1, (1, 2, 1, 2)), (2, (1, 1, 2, 2))) for i, r in enumerate(rs)]
     single = [(1, 0, 1.0), (2, 0, 2.0), (1, 1, 4.0), (2, 2, 4.0)]
     for rows in (constant, uncorrelated, zero, single, []):
         assert user_pearson(ratings(rows)).count() == 0

@@ -1,9 +1,11 @@
 import random
+from types import SimpleNamespace
 
 import pytest
 
 from affinis.plans import pair_join, spread, split_join, stage
 from affinis.plans.skew import lookup_join
+from affinis.plans.staging import shared_folder
 
 from .conftest import tuples
 
@@ -41,3 +43,13 @@ def test_stage_and_spread(spark):
     staged = stage(df.selectExpr("id", "id * 2 AS twice"))
     assert tuples(staged, "id", "twice") == [(n, 2 * n) for n in range(100)]
     assert spread(spark.range(0, 100, 1, 9)).rdd.getNumPartitions() == 9
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    def session(configured):
+        conf = SimpleNamespace(get=lambda name, default: configured)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077"))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session(None))
+    assert shared_folder(session("hdfs:///checkpoints")) == "hdfs:///checkpoints"
