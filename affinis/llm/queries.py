@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import bpe, decontaminate
+from affinis.llm import bpe, decontaminate, exact
 from affinis.llm.text import read
 
 
+def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.digest(read(spark, folder, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
@@ -19,8 +23,16 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_dedup": op1_exact_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op1_exact_dedup": f"""
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+            doc_id = max(doc_id) OVER same AS kept, sha256({LOWER}) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY {LOWER})""",
+}

@@ -154,14 +154,14 @@ def fields(spec: str) -> list[StructField]:
 
 
 def add_columns(
-    docs: DataFrame, inputs: list[str], make: Callable[[], Callable[..., list]], spec: str
+    docs: DataFrame, inputs: list[str], make: Callable[[], Callable[..., list]], spec: str, limit: int = GROUP
 ) -> DataFrame:
     """``docs`` with the columns of DDL ``spec`` that a function of some of its columns gives.
 
     ``make`` runs once in each task and returns that function, from the Arrow
     arrays of ``inputs`` (the text first) to one list or array for each new
-    column.  New columns replace those of the same name.  Rows stay in their
-    tasks and order.
+    column; it is called with rows of up to ``limit`` bytes of text.  New columns
+    replace those of the same name.  Rows stay in their tasks and order.
     """
     new = fields(spec)
     names = [c for c in docs.columns if c not in {f.name for f in new}]
@@ -175,7 +175,7 @@ def add_columns(
         apply = make()
         for batch in batches:
             _, offsets = text_bytes(batch.column(at[0]))
-            for a, b in row_groups(offsets):
+            for a, b in row_groups(offsets, limit):
                 part = batch.slice(a, b - a)
                 made = apply(*(part.column(k) for k in at))
                 made = [v if isinstance(v, pa.Array) else pa.array(v, kind) for v, kind in zip(made, kinds)]
