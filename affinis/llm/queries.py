@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import bpe, decontaminate, exact
+from affinis.llm import bpe, decontaminate, exact, language
 from affinis.llm.text import read
 
 
@@ -14,6 +14,10 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.digest(read(spark, folder, "documents"))
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.digest(read(spark, folder, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
@@ -24,6 +28,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op10_byte_bpe": op10_byte_bpe,
 }
