@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import bpe, decontaminate, exact, jaccard, language
+from affinis.llm import bpe, decontaminate, exact, jaccard, language, tokens
 from affinis.llm.text import read
 
 
@@ -22,6 +22,10 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.digest(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.digest(read(spark, folder, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked_groups(read(spark, folder, "documents"))
 
@@ -34,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
+    "op4_token_files": op4_token_files,
     "op6_jaccard_join": op6_jaccard_join,
     "op10_byte_bpe": op10_byte_bpe,
 }

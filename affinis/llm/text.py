@@ -99,8 +99,17 @@ def row_groups(offsets: np.ndarray, limit: int = GROUP) -> Iterator[tuple[int, i
         at = to
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower: bool = True) -> Words:
-    """Runs of the bytes in ``table``, never across rows, with the hashes of their (lower-cased) bytes."""
+def find_words(
+    data: np.ndarray,
+    offsets: np.ndarray,
+    table: np.ndarray,
+    lower: bool = True,
+    cut: Callable[[np.ndarray], np.ndarray] | None = None,
+) -> Words:
+    """Runs of the bytes in ``table``, never across rows, with the hashes of their (lower-cased) bytes.
+
+    ``cut`` marks the bytes of an array, but the first, at which a new word starts inside a run.
+    """
     starts, ends, hashes, at = [], [], [], 0
     while at < data.size:
         to = min(data.size, at + SLICE)
@@ -121,6 +130,10 @@ def find_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, lower:
         last[:-1] &= ~inside[1:]
         before = limits[limits > 0] - 1
         last[before] = inside[before]
+        if cut is not None:
+            marks = cut(part)
+            first[1:] |= marks
+            last[:-1] |= marks
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
         starts.append(s + at)
         ends.append(e + at)
