@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import bpe, decontaminate, exact, jaccard, language, tokens
+from affinis.llm import bpe, decontaminate, exact, jaccard, language, suffix, tokens
 from affinis.llm.text import read
 
 
@@ -30,6 +30,10 @@ def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked_groups(read(spark, folder, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.digest(read(spark, folder, "documents"))
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(read(spark, folder, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_token_files": op4_token_files,
     "op6_jaccard_join": op6_jaccard_join,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
