@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import bpe, decontaminate, exact, jaccard, language, suffix, tokens
+from affinis.llm import bpe, cross_entropy, decontaminate, exact, jaccard, language, quality, suffix, tokens
 from affinis.llm.text import read
 
 
@@ -26,10 +26,18 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.digest(read(spark, folder, "documents"))
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.digest(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked_groups(read(spark, folder, "documents"))
 
 
+def op8_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
+    return cross_entropy.digest(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix.digest(read(spark, folder, "documents"))
 
@@ -43,7 +51,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_decontaminate": op3_decontaminate,
     "op4_token_files": op4_token_files,
+    "op5_quality": op5_quality,
     "op6_jaccard_join": op6_jaccard_join,
+    "op8_cross_entropy": op8_cross_entropy,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
