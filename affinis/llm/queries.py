@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from affinis.llm import bpe, cross_entropy, decontaminate, exact, jaccard, language, quality, suffix, tokens
+from affinis.llm import (
+    bpe, cross_entropy, decontaminate, exact, jaccard, language, passages, quality, suffix, tokens,
+)
 from affinis.llm.text import read
 
 
@@ -34,6 +36,10 @@ def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked_groups(read(spark, folder, "documents"))
 
 
+def op7_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.digest(read(spark, folder, "documents"))
+
+
 def op8_cross_entropy(spark: SparkSession, folder: str) -> DataFrame:
     return cross_entropy.digest(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
@@ -53,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_files": op4_token_files,
     "op5_quality": op5_quality,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_passages": op7_passages,
     "op8_cross_entropy": op8_cross_entropy,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_byte_bpe": op10_byte_bpe,

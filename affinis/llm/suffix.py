@@ -162,7 +162,7 @@ def _text_id(text: bytes) -> bytes:
     return sha256(text).digest()[:ID]
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[bytes, np.ndarray]]:
+def distinct_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[bytes, np.ndarray]]:
     """Distinct texts of each group of rows, by id."""
     for batch in batches:
         _, offsets = text_bytes(batch.column(0))
@@ -176,7 +176,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[bytes, np.ndarray
 
 def _messages(length: int, gram: int, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of all distinct texts, packed into one row for each bucket of anchors."""
-    for texts in _texts(batches):
+    for texts in distinct_texts(batches):
         parts = []
         for tid, text in texts.items():
             anchor, context, low, high = window_runs(text, length, gram)
@@ -213,7 +213,7 @@ def _hits(length: int, anchor_bytes: int, batches: Iterator[pa.RecordBatch]) ->
 
     def hits(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
         rows = np.frombuffer(b"".join(parts), RUN)
-        rows = rows[np.lexsort((rows["low"], _rank(rows["tid"]), rows["high"] - rows["low"], rows["context"], rows["anchor"]))]
+        rows = rows[np.lexsort((rows["low"], rank_ids(rows["tid"]), rows["high"] - rows["low"], rows["context"], rows["anchor"]))]
 
         def new(*columns: str) -> np.ndarray:
             changed = np.ones(rows.size, bool)
@@ -258,7 +258,7 @@ def _hits(length: int, anchor_bytes: int, batches: Iterator[pa.RecordBatch]) ->
         yield from hits(parts)
 
 
-def _rank(ids: np.ndarray) -> np.ndarray:
+def rank_ids(ids: np.ndarray) -> np.ndarray:
     """Numbers that are equal for equal ids."""
     halves = np.frombuffer(np.ascontiguousarray(ids).tobytes(), "<u8").reshape(-1, 2)
     order = np.lexsort((halves[:, 1], halves[:, 0]))
@@ -269,8 +269,8 @@ def _rank(ids: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _distinct_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for texts in _texts(batches):
+def distinct_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for texts in distinct_texts(batches):
         columns = [pa.array(list(texts), pa.binary()), pa.array([t.tobytes() for t in texts.values()], pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names=["tid", "data"])
 
@@ -356,7 +356,7 @@ def _removed(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         )
 
 
-def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def describe_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column(1))
         digests = [sha256(data[a:b]).digest() for a, b in zip(offsets[:-1], offsets[1:])]
@@ -384,7 +384,7 @@ def remove_repeats(
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    rows = stage(docs.mapInArrow(_described, "doc_id BIGINT, n BIGINT, tid BINARY, sha BINARY"))
+    rows = stage(docs.mapInArrow(describe_rows, "doc_id BIGINT, n BIGINT, tid BINARY, sha BINARY"))
     buckets = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     messages = docs.select("text").mapInArrow(partial(_messages, length, gram, buckets), "bucket INT, runs BINARY")
     dealt = messages.repartition("bucket").sortWithinPartitions("bucket")
@@ -392,7 +392,7 @@ def remove_repeats(
 
     # The texts that have hits, once each.
     runs = hits.groupBy("tid").agg(F.collect_list(F.struct("low", "high", "anchor", "whole", "role")).alias("runs"))
-    texts = docs.select("text").mapInArrow(_distinct_rows, "tid BINARY, data BINARY")
+    texts = docs.select("text").mapInArrow(distinct_rows, "tid BINARY, data BINARY")
     texts = stage(texts.groupBy("tid").agg(F.first("data").alias("data")).join(runs, "tid"))
     contexts = texts.mapInArrow(
         partial(_contexts, length), "anchor BIGINT, tid BINARY, low BIGINT, whole BOOLEAN, role INT, bytes BINARY"
