@@ -15,8 +15,8 @@ REGULARISATION = 0.36
 SEED = 4
 
 LOWEST, HIGHEST = 1.0, 5.0
-RATINGS_PER_BLOCK = 5_000_000
-MIN_BLOCKS = 10
+# Part of the model, as the start values are drawn per block; raise it for a cluster of more cores.
+BLOCKS = 10
 
 
 def fit_als(
@@ -24,18 +24,15 @@ def fit_als(
     rank: int = RANK,
     iterations: int = ITERATIONS,
     regularisation: float = REGULARISATION,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
     seed: int = SEED,
 ) -> ALSModel:
     """Explicit-feedback ALS.  Ids must fit a 32-bit integer.
 
-    The factors start from random values per block, so results depend on the
-    number of ``blocks``; by default it follows from the number of ratings, at
-    least 10, and not from the cluster.
+    The factors start from random values per block, so results depend on
+    ``blocks``; it is a constant and follows neither from the data nor from the cluster.
     """
     shared_folder(train.sparkSession)
-    if blocks is None:
-        blocks = max(MIN_BLOCKS, -(-train.count() // RATINGS_PER_BLOCK))
     als = ALS(
         rank=rank,
         maxIter=iterations,

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinis.plans.skew import GROUP_LIMIT, broadcast_if_small, hot_groups, pair_join
+from affinis.plans.skew import GROUP_LIMIT, hot_groups, pair_join, split_join
+from affinis.plans.staging import stage
 
 # Fewer common ratings than this give no weight.
 MIN_SUPPORT = 2
@@ -32,13 +33,20 @@ def _total(terms: DataFrame) -> DataFrame:
     return terms.groupBy("id1", "id2").agg(*[F.sum(c).alias(c) for c in _SUMS])
 
 
+def _rows(ratings: DataFrame, entity: str, feature: str) -> DataFrame:
+    """``id, f, r`` of the ratings that have a value."""
+    rows = ratings.select(F.col(entity).alias("id"), F.col(feature).alias("f"), F.col("rating").alias("r"))
+    return rows.dropna()
+
+
 def co_rating_sums(
     ratings: DataFrame, entity: str, feature: str, min_support: int = MIN_SUPPORT, limit: int = GROUP_LIMIT
 ) -> DataFrame:
     """``id1, id2, n`` and rating sums of all entity pairs with ``n >= min_support`` (at least 2).
 
     An inverted-index self-join on ``feature``, aggregated before the shuffle by
-    pair.  Runs one counting job.  Features with more than ``limit`` ratings are
+    pair.  Ratings without a value count for nothing.  Runs one counting job.
+    Features whose pairs exceed ``limit`` and an average task are
     hot, and most pairs of their raters have nothing else in common.  So each
     entity leaves its most common hot feature out of the join: two entities
     that share two features still meet in one of them (both rank features alike,
@@ -49,25 +57,25 @@ def co_rating_sums(
     """
     if min_support < 2:
         raise ValueError("min_support must be at least 2")
-    rows = ratings.select(F.col(entity).alias("id"), F.col(feature).alias("f"), F.col("rating").alias("r"))
+    rows = _rows(ratings, entity, feature)
     hot = hot_groups(rows, ["f"], limit)
-    found = hot.count()
-    if not found:
+    if hot is None:
         terms = _terms(pair_join(rows, ["f"], "id", {"r": ("x", "y")}, limit=None))
         return _total(terms).filter(F.col("n") >= min_support)
 
-    common = rows.join(broadcast_if_small(hot, found), "f")
+    common = rows.join(hot, "f")
     left_out = common.groupBy("id").agg(F.max(F.struct("_n", "f", "r")).alias("top")).select("id", "top.f", "top.r")
     indexed = rows.join(left_out.select("id", "f"), ["id", "f"], "left_anti")
     common_indexed = common.join(left_out.select("id", "f"), ["id", "f"], "left_anti")
 
-    met = _total(_terms(pair_join(indexed, ["f"], "id", {"r": ("x", "y")}, limit)))
+    met = stage(_total(_terms(pair_join(indexed, ["f"], "id", {"r": ("x", "y")}, limit))))
     pairs = met.select("id1", "id2")
 
     def side(frame: DataFrame, number: int, value: str) -> DataFrame:
         return frame.select(F.col("id").alias(f"id{number}"), "f", F.col("r").alias(value))
 
     # A feature left out by id1 (kept or left out by id2), then one left out by id2 only.
+    # Each id has left out one at most, so both are lookups of single rows.
     first = pairs.join(side(left_out, 1, "x"), "id1").join(side(common, 2, "y"), ["id2", "f"])
     second = pairs.join(side(left_out, 2, "y"), "id2").join(side(common_indexed, 1, "x"), ["id1", "f"])
     terms = met.unionByName(_terms(first)).unionByName(_terms(second))
@@ -84,27 +92,32 @@ def co_rating_sums_of(
 ) -> DataFrame:
     """The sums of ``co_rating_sums`` for given pairs ``id1 < id2`` only.
 
-    Features with at most ``limit`` ratings go through the self-join, filtered
-    by the pairs before anything is aggregated.  For hot features each given
-    pair looks up its own ratings instead; there are few such features, so
-    neither way generates the pairs of a hot group.  Runs one counting job.
+    Goes from each pair to the ratings of its side with fewer of them, and looks
+    these up on the other side.  The rows made are bounded by the pairs times the
+    ratings of their smaller side; nothing is paired that was not asked for.
+    Sides that many pairs share are split into cells.  Runs one counting job.
     """
-    rows = ratings.select(F.col(entity).alias("id"), F.col(feature).alias("f"), F.col("rating").alias("r"))
-    pairs = pairs.select("id1", "id2")
-    hot = hot_groups(rows, ["f"], limit).select("f")
-    found = hot.count()
-    rare = rows
-    if found:
-        hot = broadcast_if_small(hot, found)
-        rare = rows.join(hot, "f", "left_anti")
-    met = pair_join(rare, ["f"], "id", {"r": ("x", "y")}, limit=None)
-    terms = _terms(met.join(pairs, ["id1", "id2"], "left_semi"))
-    if found:
-        common = rows.join(hot, "f", "left_semi")
-        first = common.select(F.col("id").alias("id1"), "f", F.col("r").alias("x"))
-        second = common.select(F.col("id").alias("id2"), "f", F.col("r").alias("y"))
-        terms = terms.unionByName(_terms(pairs.join(first, "id1").join(second, ["id2", "f"])))
-    return _total(terms).filter(F.col("n") >= min_support)
+    rows = _rows(ratings, entity, feature)
+    sizes = rows.groupBy("id").agg(F.count("*").alias("n"))
+    known = pairs.select("id1", "id2")
+    for side in ("1", "2"):
+        known = known.join(sizes.select(F.col("id").alias(f"id{side}"), F.col("n").alias(f"n{side}")), f"id{side}")
+    swap = F.col("n1") > F.col("n2")
+    oriented = known.select(
+        F.when(swap, F.col("id2")).otherwise(F.col("id1")).alias("small"),
+        F.when(swap, F.col("id1")).otherwise(F.col("id2")).alias("large"),
+    )
+    of_small = rows.select(F.col("id").alias("small"), "f", F.col("r").alias("rs"))
+    of_large = rows.select(F.col("id").alias("large"), "f", F.col("r").alias("rl"))
+    met = split_join(stage(oriented), of_small, ["small"], limit).join(of_large, ["large", "f"])
+    turned = F.col("small") < F.col("large")
+    terms = met.select(
+        F.least("small", "large").alias("id1"),
+        F.greatest("small", "large").alias("id2"),
+        F.when(turned, F.col("rs")).otherwise(F.col("rl")).alias("x"),
+        F.when(turned, F.col("rl")).otherwise(F.col("rs")).alias("y"),
+    )
+    return _total(_terms(terms)).filter(F.col("n") >= min_support)
 
 
 def co_rated_pairs(ratings: DataFrame, entity: str, feature: str, min_support: int = MIN_SUPPORT) -> DataFrame:
@@ -132,18 +145,26 @@ def pearson(sums: DataFrame, tolerance: float = 0.0) -> DataFrame:
     )
 
 
-def user_pearson(ratings: DataFrame, min_support: int = MIN_SUPPORT, limit: int = GROUP_LIMIT) -> DataFrame:
+def user_pearson(
+    ratings: DataFrame, min_support: int = MIN_SUPPORT, limit: int = GROUP_LIMIT, tolerance: float = 0.0
+) -> DataFrame:
     """Weights of all user pairs."""
-    return pearson(co_rating_sums(ratings, "user", "item", min_support, limit))
+    return pearson(co_rating_sums(ratings, "user", "item", min_support, limit), tolerance)
 
 
-def item_pearson(ratings: DataFrame, min_support: int = MIN_SUPPORT, limit: int = GROUP_LIMIT) -> DataFrame:
+def item_pearson(
+    ratings: DataFrame, min_support: int = MIN_SUPPORT, limit: int = GROUP_LIMIT, tolerance: float = 0.0
+) -> DataFrame:
     """Weights of all item pairs."""
-    return pearson(co_rating_sums(ratings, "item", "user", min_support, limit))
+    return pearson(co_rating_sums(ratings, "item", "user", min_support, limit), tolerance)
 
 
 def item_pearson_of(
-    pairs: DataFrame, ratings: DataFrame, min_support: int = MIN_SUPPORT, limit: int = GROUP_LIMIT
+    pairs: DataFrame,
+    ratings: DataFrame,
+    min_support: int = MIN_SUPPORT,
+    limit: int = GROUP_LIMIT,
+    tolerance: float = 0.0,
 ) -> DataFrame:
     """Weights of given item pairs, such as LSH candidates."""
-    return pearson(co_rating_sums_of(pairs, ratings, "item", "user", min_support, limit))
+    return pearson(co_rating_sums_of(pairs, ratings, "item", "user", min_support, limit), tolerance)

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.functions.hashing import element_hash
-from affinis.plans.skew import broadcast_if_small, hot_groups
 
-# A set longer than this is returned as several rows.
-SET_CHUNK = 65_536
+# Rows that a set is spread over.
+SET_PARTS = 16
 
 
 def one_rating_per_pair(ratings: DataFrame) -> DataFrame:
@@ -29,20 +28,15 @@ def mean_rating(ratings: DataFrame, entity: str) -> DataFrame:
     )
 
 
-def element_sets(ratings: DataFrame, entity: str, element: str, chunk: int = SET_CHUNK) -> DataFrame:
+def element_sets(ratings: DataFrame, entity: str, element: str, parts: int = SET_PARTS) -> DataFrame:
     """Set of ``element`` per ``entity``: ``id, part, n, elements`` (sorted).
 
-    A set of more than ``chunk`` members is spread over ``ceil(n / chunk)``
-    rows by a hash of the member, so that no single row or task holds it; ``n``
-    counts the members of the row's part.  Runs one counting job.
+    Every set is spread over ``parts`` rows by a hash of the member, less those
+    without one, whatever its size; ``n`` counts the members of the whole set.
+    For sets of very many members ask for more parts.
     """
     members = ratings.select(F.col(entity).alias("id"), F.col(element).alias("e"))
-    hot = hot_groups(members, ["id"], chunk)
-    found = hot.count()
-    part = F.lit(0).cast("bigint")
-    if found:
-        hot = hot.select("id", F.ceil(F.col("_n") / chunk).cast("bigint").alias("parts"))
-        members = members.join(broadcast_if_small(hot, found), "id", "left")
-        part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(element_hash(F.col("e")), F.col("parts")))
-    sets = members.groupBy("id", part.alias("part")).agg(F.array_sort(F.collect_set("e")).alias("elements"))
-    return sets.select("id", "part", F.size("elements").cast("bigint").alias("n"), "elements")
+    part = F.pmod(element_hash(F.col("e")), F.lit(parts)).alias("part")
+    sets = members.groupBy("id", part).agg(F.array_sort(F.collect_set("e")).alias("elements"))
+    sizes = sets.groupBy("id").agg(F.sum(F.size("elements")).alias("n"))
+    return sets.join(sizes, "id").select("id", "part", "n", "elements")

@@ -1,26 +1,33 @@
 """Equi-joins that split hot groups into a grid of bounded cells.
 
 A group with ``l`` left and ``r`` right rows makes ``l * r`` rows out of one
-shuffle partition.  Where either count exceeds the limit, the group becomes a
-grid of ``ceil(l / limit) x ceil(r / limit)`` cells: a left row is placed in one
-grid row and copied along it, a right row likewise along its column, so every
-(left, right) combination meets in exactly one cell.  Nothing is dropped.
+shuffle partition.  A group is hot when it reads and makes more rows than an
+average task does, and more than the limit; so there are never more hot groups
+than tasks, and their list can always be broadcast, before any shuffle by their
+key.  A hot group becomes a grid of ``rows x cols`` cells of an average task's
+rows: a left row is placed in one grid row and copied along it, a right row
+likewise along its column, so every (left, right) combination meets in exactly
+one cell.  Nothing is dropped, and the split changes the plan only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of one group that may meet in one cell, per side.
-GROUP_LIMIT = 10_000
-# Hot-group lists up to this many rows are broadcast; longer ones are shuffled.
-BROADCAST_ROWS = 100_000
+from affinis.plans.staging import stage
 
+# Rows that a group may read and make in one cell whatever the average.
+GROUP_LIMIT = 1_000_000
 
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast for a frame whose row count has been checked."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+def partitions(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def average(spark: SparkSession, total: int) -> int:
+    """Rows of an average task."""
+    return total // partitions(spark)
 
 
 def by_key(df: DataFrame, on: list[str]) -> DataFrame:
@@ -29,18 +36,32 @@ def by_key(df: DataFrame, on: list[str]) -> DataFrame:
     For joins that make far more rows than they read: Spark would merge small
     input partitions, and with them the tasks that make the rows.
     """
-    spark = df.sparkSession
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(partitions, *on)
+    return df.repartition(partitions(df.sparkSession), *on)
+
 
+def _work() -> Column:
+    """Rows a group reads and makes, as a double: products of counts may pass 64 bits."""
+    left, right = F.col("l").cast("double"), F.col("r").cast("double")
+    return left * right + left + right
 
-def hot_groups(rows: DataFrame, on: list[str], limit: int) -> DataFrame:
-    """Groups of ``on`` holding more than ``limit`` rows: ``on..., _n``."""
-    return rows.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
 
+def _hot(sizes: DataFrame, limit: int) -> tuple[DataFrame, float] | None:
+    """The groups of ``sizes`` (with ``l``, ``r``) that need splitting, staged, and the rows of a cell."""
+    total, most = sizes.agg(F.sum(_work()), F.max(_work())).first()
+    budget = max(float(limit), float(average(sizes.sparkSession, int(total or 0))))
+    if most is None or most <= budget:
+        return None
+    return stage(sizes.filter(_work() > budget)), budget
 
-def _cells(n: Column, limit: int) -> Column:
-    return F.ceil(n / limit).cast("bigint")
+
+def hot_groups(rows: DataFrame, on: list[str], limit: int) -> DataFrame | None:
+    """Groups of ``on`` too large to be paired within one task, as ``on..., _n``, or None.
+
+    At most as many as there are tasks, with a hint to broadcast them.  Runs a counting job.
+    """
+    sizes = rows.groupBy(*on).agg(F.count("*").alias("l")).withColumn("r", F.col("l"))
+    found = _hot(sizes, limit)
+    return None if found is None else F.broadcast(found[0].select(*on, F.col("l").alias("_n")))
 
 
 def hot_cells(sizes: DataFrame, on: list[str], limit: int) -> DataFrame | None:
@@ -48,10 +69,17 @@ def hot_cells(sizes: DataFrame, on: list[str], limit: int) -> DataFrame | None:
 
     ``sizes`` has ``on..., l, r``, the rows of each group per side.
     """
-    hot = sizes.filter((F.col("l") > limit) | (F.col("r") > limit))
-    hot = hot.select(*on, _cells(F.col("l"), limit).alias("_rows"), _cells(F.col("r"), limit).alias("_cols"))
-    found = hot.count()
-    return broadcast_if_small(hot, found) if found else None
+    found = _hot(sizes, limit)
+    if found is None:
+        return None
+    hot, budget = found
+    side = max(1.0, budget**0.5 - 1)
+    left, right = F.col("l"), F.col("r")
+    # A short side is not cut, so the other is cut into pieces whose rows and products fill a cell.
+    rows = F.when(right <= side, F.ceil(_work() / budget)).when(left <= side, 1).otherwise(F.ceil(left / side))
+    cols = F.when(right <= side, 1).when(left <= side, F.ceil(_work() / budget)).otherwise(F.ceil(right / side))
+    cells = hot.select(*on, F.least(rows, left).alias("_rows"), F.least(cols, right).alias("_cols"))
+    return F.broadcast(cells.withColumns({c: F.greatest(c, F.lit(1)).cast("bigint") for c in ("_rows", "_cols")}))
 
 
 def grid_join(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame | None) -> DataFrame:

@@ -2,32 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a ``local`` session, where driver and executors are one process, may
-    go without it and gets a temporary folder.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = context.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="affinis-")
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(_local_roots[app])
-    return _local_roots[app]
+    """The folder the cluster names in ``spark.checkpoint.dir``, or the one set on the context."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return folder
 
 
 def stage(df: DataFrame) -> DataFrame:

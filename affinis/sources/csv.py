@@ -22,26 +22,44 @@ def read_ratings(
     ``header`` drops the first line of every file.  ``skip_lines_with`` drops
     each line that contains the text instead, wherever it stands, for inputs
     whose header may be repeated.  ``extra_columns`` says how many trailing
-    columns follow the rating; they are not parsed.  ``FAILFAST`` raises on a
-    malformed line; ``PERMISSIVE`` gives nulls and ``DROPMALFORMED`` drops it.
+    columns follow the rating; they are not parsed.  A line is malformed if it has
+    more or fewer fields, a field that is no number, or an empty one of the three:
+    ``FAILFAST`` raises on it, ``DROPMALFORMED`` drops it, and ``PERMISSIVE`` gives
+    nulls for what can't be read.
     """
-    schema = RATING_SCHEMA + "".join(f", _extra{i} STRING" for i in range(extra_columns))
+    if mode not in ("FAILFAST", "PERMISSIVE", "DROPMALFORMED"):
+        raise ValueError(f"unknown mode {mode}")
+    schema = RATING_SCHEMA + "".join(f", _extra{i} STRING" for i in range(extra_columns)) + ", _malformed STRING"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
     if skip_lines_with is None:
-        rows = spark.read.schema(schema).option("header", header).option("mode", mode).csv(path)
+        # All columns are parsed, as the fields of a line are only counted then.
+        reader = spark.read.schema(schema).options(header=header, columnPruning=False, **options)
+        rows = reader.csv(path)
     else:
         lines = spark.read.text(path).filter(~F.col("value").contains(skip_lines_with))
-        # from_csv has no DROPMALFORMED; parse leniently and drop below.
-        parse_mode = "PERMISSIVE" if mode == "DROPMALFORMED" else mode
-        parsed = F.from_csv("value", schema, {"mode": parse_mode}).alias("row")
-        rows = lines.select(parsed).select("row.*")
-        if mode == "DROPMALFORMED":
-            rows = rows.dropna(subset=["user", "item", "rating"])
-    return rows.select("user", "item", "rating")
+        rows = lines.select(F.from_csv("value", schema, options).alias("row")).select("row.*")
+    return _checked(rows, ["user", "item", "rating"], mode)
+
+
+def _checked(rows: DataFrame, required: list[str], mode: str) -> DataFrame:
+    """``required`` columns of parsed rows, malformed ones treated as ``mode`` says."""
+    if mode == "PERMISSIVE":
+        return rows.select(*required)
+    bad = F.col("_malformed").isNotNull()
+    for name in required:
+        bad |= F.col(name).isNull()
+    if mode == "DROPMALFORMED":
+        return rows.filter(~bad).select(*required)
+    line = F.coalesce("_malformed", F.concat_ws(",", *required))
+    error = F.raise_error(F.concat(F.lit("malformed line: "), line))
+    return rows.select(*[F.when(bad, error.cast(rows.schema[c].dataType)).otherwise(F.col(c)).alias(c) for c in required])
 
 
 def read_pairs(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """Known pairs ``a,b`` in either order as distinct ``id1 < id2``, such as a ground truth."""
-    rows = spark.read.schema("a BIGINT, b BIGINT").option("header", header).option("mode", "FAILFAST").csv(path)
+    """Known pairs ``a,b`` in either order as distinct ``id1 < id2``, such as a ground truth; malformed lines raise."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed", "columnPruning": False}
+    rows = spark.read.schema("a BIGINT, b BIGINT, _malformed STRING").options(header=header, **options).csv(path)
+    rows = _checked(rows, ["a", "b"], "FAILFAST")
     return rows.filter("a <> b").select(F.least("a", "b").alias("id1"), F.greatest("a", "b").alias("id2")).distinct()
 
 

@@ -6,10 +6,14 @@ compared by a plain self-join, weights by a plain self-join and aggregate.
 
 from __future__ import annotations
 
-from affinis.functions.hashing import PRIME
-from affinis.operators.minhash import NUM_HASHES, ROWS_PER_BAND, SEED
-from affinis.operators.ratings import SET_CHUNK
-from affinis.sources.tables import HOLDOUT_FROM
+# Written out here and not imported, so that a change of the operators' settings shows.
+PRIME = 2147483647
+HALF = 268435456
+NUM_HASHES = 600
+ROWS_PER_BAND = 4
+SEED = 42
+SET_PARTS = 16
+HOLDOUT_FROM = "2000-12-01"
 
 ORACLE: dict[str, str] = {}
 
@@ -57,14 +61,11 @@ for _entity, _other in (("user", "item"), ("item", "user")):
     ORACLE[f"{_entity}_{_other}_sets"] = (
         _with(
             RATINGS,
-            f"""parts AS (SELECT "{_entity}" AS id, CAST(ceil(count(*) / {SET_CHUNK}.0) AS BIGINT) AS parts
-    FROM ratings GROUP BY "{_entity}")""",
-            f"""members AS (SELECT id, "{_other}" AS e,
-    ('0x' || substr(md5(CAST("{_other}" AS VARCHAR)), 1, 7))::BIGINT % parts AS part
-    FROM ratings JOIN parts ON id = "{_entity}")""",
+            f"""members AS (SELECT "{_entity}" AS id, "{_other}" AS e, count(*) OVER (PARTITION BY "{_entity}") AS n,
+    ('0x' || substr(md5(CAST("{_other}" AS VARCHAR)), 1, 7))::BIGINT % {SET_PARTS} AS part FROM ratings)""",
         )
-        + "SELECT id, part, count(*) AS n, string_agg(CAST(e AS VARCHAR), ',' ORDER BY e) AS elements"
-        + " FROM members GROUP BY id, part"
+        + "SELECT id, part, n, string_agg(CAST(e AS VARCHAR), ',' ORDER BY e) AS elements"
+        + " FROM members GROUP BY id, part, n"
     )
 
 # Set similarity
@@ -79,15 +80,19 @@ SHINGLES = r"""texts AS (
     SELECT doc_id AS id, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS w
     FROM documents),
 places AS (SELECT id, w, unnest(range(1, len(w) - 1)) AS i FROM texts WHERE len(w) >= 3),
-sets AS (SELECT DISTINCT id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS element FROM places)"""
+sets AS (SELECT DISTINCT id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS element FROM places
+    UNION ALL SELECT id, array_to_string(w, ' ') FROM texts WHERE len(w) IN (1, 2))"""
 TRAIN_SETS = 'sets AS (SELECT item AS id, "user" AS element FROM train)'
 
 MINHASH = f"""coefficients AS (
     SELECT k, 1 + ('0x' || substr(md5('{SEED}a' || k), 1, 8))::BIGINT % {PRIME - 1} AS a,
-        ('0x' || substr(md5('{SEED}b' || k), 1, 8))::BIGINT % {PRIME} AS b
+        ('0x' || substr(md5('{SEED}b' || k), 1, 8))::BIGINT % {PRIME} AS b,
+        1 + ('0x' || substr(md5('{SEED}c' || k), 1, 8))::BIGINT % {PRIME - 1} AS c
     FROM range({NUM_HASHES}) AS r(k)),
-hashed AS (SELECT id, ('0x' || substr(md5(CAST(element AS VARCHAR)), 1, 7))::BIGINT AS x FROM sets),
-minima AS (SELECT id, k, min((a * x + b) % {PRIME}) AS h FROM hashed, coefficients GROUP BY id, k),
+hashed AS (SELECT id, ('0x' || substr(md5(CAST(element AS VARCHAR)), 1, 7))::BIGINT AS x,
+    ('0x' || substr(md5(CAST(element AS VARCHAR)), 8, 7))::BIGINT AS y FROM sets),
+minima AS (SELECT id, k, min(((a * x + c * y + b) % {PRIME}) * {HALF} + y) AS h
+    FROM hashed, coefficients GROUP BY id, k),
 banded AS (SELECT id, k // {ROWS_PER_BAND} AS band, string_agg(CAST(h AS VARCHAR), ',' ORDER BY k) AS sig
     FROM minima GROUP BY id, k // {ROWS_PER_BAND})"""
 CANDIDATES = """candidates AS (SELECT DISTINCT a.id AS id1, b.id AS id2

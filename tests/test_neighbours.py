@@ -5,6 +5,7 @@ import pytest
 from affinis.operators.neighbours import (
     co_rated_pairs,
     co_rating_sums,
+    co_rating_sums_of,
     item_pearson,
     item_pearson_of,
     pearson,
@@ -63,12 +64,38 @@ def test_weights_with_and_without_hot_features(ratings, limit, entity, feature):
     assert_same(as_weights(pearson(sums)), brute.weights(rows, entity, feature))
 
 
-def test_one_hot_item_alone_makes_no_pairs(ratings):
+def test_one_hot_item_alone_makes_no_pairs(ratings, small_tasks):
     rows = [(u, 0, float(1 + u % 5)) for u in range(60)] + [(u, 1 + u % 20, float(1 + u % 3)) for u in range(60)]
     found = co_rating_sums(ratings(rows), "user", "item", limit=10)
     assert {(r.id1, r.id2): r.n for r in found.collect()} == brute.co_rated(rows, "user", "item")
 
 
+@pytest.mark.parametrize("limit", [1, 10_000])
+def test_ratings_without_a_value_count_for_nothing(spark, ratings, limit):
+    rows = [(u, i, float(1 + u * i % 5)) for u in (1, 2, 3) for i in range(6)]
+    holes = rows + [(1, 9, None), (2, 9, 4.0), (3, 9, None), (1, 10, 2.0), (2, 10, None)]
+    expected = as_weights(user_pearson(ratings(rows), limit=limit))
+    assert as_weights(user_pearson(ratings(holes), limit=limit)) == expected
+    pairs = spark.createDataFrame([(0, 1), (1, 2), (2, 9)], "id1 BIGINT, id2 BIGINT")
+    one = item_pearson_of(pairs, ratings(rows), limit=limit)
+    assert as_weights(item_pearson_of(pairs, ratings(holes), limit=limit)) == as_weights(one)
+
+
+def test_given_pairs_make_no_more_rows_than_their_smaller_sides(spark, ratings):
+    """A hot user and a hot item: rows out of the first join are bounded by pairs x ratings of the smaller item."""
+    rows = [(u, 0, float(1 + u % 5)) for u in range(200)] + [(0, i, float(1 + i % 5)) for i in range(1, 200)]
+    rows += [(u, i, float(1 + (u + i) % 5)) for u in range(1, 20) for i in (1, 2, 3)]
+    pairs = spark.createDataFrame([(0, 1), (1, 2), (2, 150), (0, 160)], "id1 BIGINT, id2 BIGINT")
+    found = co_rating_sums_of(pairs, ratings(rows), "item", "user")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "small" in plan and "Join Inner, ((f" not in plan
+    raters = {i: sum(1 for _, j, _ in rows if j == i) for _, i, _ in rows}
+    counted = {(r.id1, r.id2): r.n for r in found.collect()}
+    expected = {p: n for p, n in brute.co_rated(rows, "item", "user").items() if p in {(0, 1), (1, 2), (2, 150), (0, 160)}}
+    assert counted == expected
+    assert all(n <= min(raters[a], raters[b]) for (a, b), n in counted.items())
+
+
 @pytest.mark.parametrize("limit", [1, 4, 10, 10_000])
 def test_weights_of_given_pairs(spark, ratings, limit):
     rows = random_ratings(11)
@@ -90,6 +117,7 @@ def test_support_below_two_is_refused(ratings):
 def test_tolerance_drops_rounding_noise(ratings):
     rows = [(1, i, 0.1) for i in range(3)] + [(2, i, 0.1 * (i + 1)) for i in range(3)]
     assert pearson(co_rating_sums(ratings(rows), "user", "item"), tolerance=1e-12).count() == 0
+    assert user_pearson(ratings(rows), tolerance=1e-12).count() == 0
 
 
 @pytest.mark.parametrize("limit", [1, 4, 10_000])

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 import pytest
 
 from affinis.plans import pair_join, spread, split_join, stage
-from affinis.plans.skew import lookup_join
+from affinis.plans.skew import hot_cells, lookup_join
 from affinis.plans.staging import shared_folder
 
 from .conftest import tuples
@@ -30,7 +30,7 @@ def test_pair_join_gives_each_pair_once(spark, limit):
     assert tuples(got, "k", "id1", "id2", "v1", "v2") == expected
 
 
-def test_lookup_join_splits_the_left_side(spark):
+def test_lookup_join_splits_the_left_side(spark, small_tasks):
     left = spark.createDataFrame([(0, n) for n in range(40)] + [(1, 1)], "k BIGINT, x BIGINT")
     right = spark.createDataFrame([(0, 10), (1, 11), (2, 12)], "k BIGINT, y BIGINT")
     expected = sorted([(0, n, 10) for n in range(40)] + [(1, 1, 11)])
@@ -46,10 +46,28 @@ def test_stage_and_spread(spark):
 
 
 def test_a_cluster_must_name_a_shared_folder():
-    def session(configured):
+    def session(configured, on_context=None):
         conf = SimpleNamespace(get=lambda name, default: configured)
-        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077"))
+        context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: on_context)
+        return SimpleNamespace(conf=conf, sparkContext=context)
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session(None))
     assert shared_folder(session("hdfs:///checkpoints")) == "hdfs:///checkpoints"
+    assert shared_folder(session(None, "hdfs:///set")) == "hdfs:///set"
+
+
+@pytest.mark.parametrize("counts", [[(5, 5)] * 100, [(1, 1)] * 50 + [(300, 2)], [(40, 40), (900, 1), (1, 900), (3, 3)]])
+def test_hot_groups_are_fewer_than_tasks_and_cells_bounded(spark, counts):
+    """Whatever the counts, with no limit but the average."""
+    rows = [(k, left, right) for k, (left, right) in enumerate(counts)]
+    sizes = spark.createDataFrame(rows, "k BIGINT, l BIGINT, r BIGINT")
+    cells = hot_cells(sizes, ["k"], 1)
+    work = {k: left * right + left + right for k, left, right in rows}
+    budget = max(1, sum(work.values()) // 4)
+    hot = {} if cells is None else {c.k: c for c in cells.collect()}
+    assert set(hot) == {k for k, w in work.items() if w > budget} and len(hot) <= 4
+    for k, left, right in rows:
+        if k in hot:
+            a, b = -(-left // hot[k]["_rows"]), -(-right // hot[k]["_cols"])
+            assert a * b + a + b <= 2 * budget + 4

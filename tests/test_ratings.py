@@ -31,16 +31,17 @@ def test_means(ratings):
     assert tuples(mean_rating(df, "item"), "id", "n", "mean") == [(1, 2, 3.0), (2, 1, 5.0)]
 
 
-def test_sets_are_sorted_and_long_ones_are_cut(ratings):
-    rows = [(1, i, 1.0) for i in range(50)] + [(2, 7, 1.0), (2, 3, 1.0)]
-    whole = element_sets(ratings(rows), "user", "item").collect()
-    assert {r.id: r.elements for r in whole} == {1: list(range(50)), 2: [3, 7]}
-    cut = element_sets(ratings(rows), "user", "item", chunk=10).collect()
-    parts = [r for r in cut if r.id == 1]
-    assert {r.part for r in parts} <= set(range(5)) and len(parts) > 1
-    assert all(r.n == len(r.elements) and r.elements == sorted(r.elements) for r in cut)
-    assert sorted(e for r in parts for e in r.elements) == list(range(50))
-    assert [r.elements for r in cut if r.id == 2] == [[3, 7]]
+def test_sets_of_any_size_have_one_form(ratings):
+    """Few members or more than the former switch at 65,536: sorted parts, and the size of the whole set."""
+    rows = [(1, i, 1.0) for i in range(70_000)] + [(2, 7, 1.0), (2, 3, 1.0)]
+    one = element_sets(ratings(rows), "user", "item", parts=1).collect()
+    assert {r.id: (r.part, r.n, r.elements) for r in one} == {1: (0, 70_000, list(range(70_000))), 2: (0, 2, [3, 7])}
+    for parts in (5, 16):
+        cut = element_sets(ratings(rows), "user", "item", parts=parts).collect()
+        assert {r.part for r in cut if r.id == 1} == set(range(parts))
+        assert {(r.id, r.n) for r in cut} == {(1, 70_000), (2, 2)}
+        assert all(r.elements == sorted(r.elements) for r in cut)
+        assert sorted((r.id, e) for r in cut for e in r.elements) == sorted((u, i) for u, i, _ in rows)
 
 
 def test_csv_with_header_and_extra_column(spark, tmp_path):
@@ -58,13 +59,38 @@ def test_every_line_with_the_header_text_is_dropped(spark, tmp_path):
 def test_malformed_lines(spark, tmp_path):
     (tmp_path / "a.csv").write_text("userID,productID,rating\n1,2,3.5\n4,x,1.0\n")
     path = str(tmp_path / "a.csv")
-    with pytest.raises(Exception, match="MALFORMED"):
+    with pytest.raises(Exception, match="malformed line"):
         read_ratings(spark, path).collect()
     assert tuples(read_ratings(spark, path, mode="DROPMALFORMED"), "user", "item") == [(1, 2)]
     dropped = read_ratings(spark, path, skip_lines_with="userID", mode="DROPMALFORMED")
     assert tuples(dropped, "user", "item") == [(1, 2)]
 
 
+@pytest.mark.parametrize("skip", [None, "userID"])
+def test_lines_must_have_all_fields_and_no_more(spark, tmp_path, skip):
+    good = ["1,2,3.5", "4,5,1.0"]
+    bad = ["1,2", "1,2,3.5,9,9", "1,2,3.5,9,9,9", "1,3,,9", ",3,1.0,9", "1,,1.0,9"]
+    for extra_columns, lines, wrong in ((0, good, bad[:3]), (1, [g + ",9" for g in good], bad)):
+        for k, line in enumerate(wrong):
+            path = tmp_path / f"{extra_columns}-{k}.csv"
+            path.write_text("\n".join(["userID,productID,rating,time"[: 22 + 5 * extra_columns], *lines, line]) + "\n")
+            more = {"extra_columns": extra_columns, "skip_lines_with": skip}
+            with pytest.raises(Exception, match="malformed line"):
+                read_ratings(spark, str(path), **more).collect()
+            kept = read_ratings(spark, str(path), mode="DROPMALFORMED", **more)
+            assert tuples(kept, "user", "item", "rating") == [(1, 2, 3.5), (4, 5, 1.0)]
+            assert read_ratings(spark, str(path), mode="PERMISSIVE", **more).count() == 3
+    with pytest.raises(ValueError):
+        read_ratings(spark, "nowhere", mode="OTHER")
+
+
+def test_malformed_pairs_raise(spark, tmp_path):
+    for k, line in enumerate(("1", "1,2,3", "1,", "1,x")):
+        (tmp_path / f"{k}.csv").write_text(f"a,b\n2,1\n{line}\n")
+        with pytest.raises(Exception, match="malformed line"):
+            read_pairs(spark, str(tmp_path / f"{k}.csv")).collect()
+
+
 def test_known_pairs_are_put_in_order(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a,b\n2,1\n1,2\n5,9\n4,4\n")
     assert tuples(read_pairs(spark, str(tmp_path / "a.csv")), "id1", "id2") == [(1, 2), (5, 9)]
