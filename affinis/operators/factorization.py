@@ -49,6 +49,32 @@ def fit_als(
     return als.fit(train)
 
 
+def normal_equation_residuals(
+    model: ALSModel, train: DataFrame, regularisation: float = REGULARISATION
+) -> DataFrame:
+    """``user, n, residual``: how far each user's factors are from solving their own least squares.
+
+    Training ends with the users, so given the item factors each user's solve
+    ``sum(y (y.x - r)) + regularisation * n * x = 0`` over their ``n`` ratings.
+    ``residual`` is the largest absolute value of a component, relative to the
+    sum of ``|r y|``; 0 but for rounding.
+    """
+    users = model.userFactors.select(F.col("id").alias("user"), F.col("features").alias("x"))
+    items = model.itemFactors.select(F.col("id").alias("item"), F.col("features").alias("y"))
+    known = train.join(items, "item").join(users, "user")
+    product = F.zip_with("x", "y", lambda a, b: a.cast("double") * b.cast("double"))
+    dot = F.aggregate(product, F.lit(0.0), lambda total, value: total + value)
+    terms = known.select("user", "rating", "x", "y", (dot - F.col("rating")).alias("error"))
+    sums = terms.groupBy("user", "x").agg(
+        F.count("*").alias("n"),
+        F.array(*[F.sum(F.col("error") * F.col("y")[k]) for k in range(model.rank)]).alias("gradient"),
+        F.array(*[F.sum(F.abs(F.col("rating") * F.col("y")[k])) for k in range(model.rank)]).alias("size"),
+    )
+    penalty = F.transform("x", lambda v: v.cast("double") * F.col("n") * regularisation)
+    left = F.zip_with(F.zip_with("gradient", penalty, lambda a, b: F.abs(a + b)), "size", F.try_divide)
+    return sums.select("user", "n", F.array_max(left).alias("residual"))
+
+
 def als_predictions(model: ALSModel, targets: DataFrame) -> DataFrame:
     """``user, item, prediction`` of distinct targets; pairs the model does not know drop out."""
     scored = model.transform(targets.select("user", "item").distinct())

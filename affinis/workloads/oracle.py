@@ -51,6 +51,8 @@ def _r(expression: str, name: str) -> str:
 # Ratings
 
 ORACLE["ratings"] = ORACLE["ratings_from_csv"] = _with(RATINGS) + 'SELECT "user", item, rating FROM ratings'
+ORACLE["ratings_without_header_lines"] = ORACLE["ratings"]
+ORACLE["ratings_from_three_columns"] = _with(TRAIN) + 'SELECT "user", item, rating FROM test'
 ORACLE["train_minus_test"] = _with(TRAIN) + 'SELECT "user", item, rating FROM train'
 
 for _entity, _other in (("user", "item"), ("item", "user")):
@@ -70,6 +72,8 @@ for _entity, _other in (("user", "item"), ("item", "user")):
 
 # Set similarity
 
+ORACLE["known_pairs"] = """SELECT DISTINCT least(o_custkey, l_suppkey) AS id1, greatest(o_custkey, l_suppkey) AS id2
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey <> l_suppkey"""
 SUPPLIER_CUSTOMERS = """sets AS (SELECT DISTINCT l_suppkey AS id, o_custkey AS element
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 SUPPLIER_MARKETS = """sets AS (
@@ -214,6 +218,23 @@ ORACLE["write_sorted"] = (
     _with(TRAIN, ITEM_MEAN) + f'SELECT "user", item, {_r("prediction", "prediction")} FROM item_mean'
 )
 
+# Matrix factorisation: what holds for any factors
+
+SCORED = """scored AS (SELECT t."user", t.item FROM test t
+    WHERE t."user" IN (SELECT "user" FROM train) AND t.item IN (SELECT item FROM train))"""
+ORACLE["als_scored_pairs"] = _with(TRAIN, SCORED) + 'SELECT "user", item FROM scored'
+ORACLE["als_scaled_bounds"] = (
+    _with(TRAIN, SCORED)
+    + "SELECT count(*) AS n, CAST(1 AS DOUBLE) AS lowest, CAST(5 AS DOUBLE) AS highest FROM scored"
+)
+ORACLE["als_report_counts"] = (
+    _with(TRAIN, SCORED)
+    + "SELECT method, (SELECT count(*) FROM scored) AS n FROM (VALUES ('als'), ('als_scaled')) AS methods(method)"
+)
+ORACLE["als_normal_equations"] = (
+    _with(TRAIN) + 'SELECT count(DISTINCT "user") AS users, CAST(0 AS BIGINT) AS violations FROM train'
+)
+
 # Corrections of predictions
 
 _ITEM_BASED = (TRAIN, ITEM_WEIGHTS, ITEM_BASED)

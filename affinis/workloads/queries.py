@@ -68,6 +68,34 @@ def ratings_from_csv(spark, folder):
     return comparable(csv.read_ratings(spark, path, extra_columns=1))
 
 
+@query
+def ratings_from_three_columns(spark, folder):
+    path = f"{shared_folder(spark)}/ratings-{uuid.uuid4().hex}"
+    lines = tables.holdout(spark, folder).select(F.col("user").alias("userID"), F.col("item").alias("productID"), "rating")
+    lines.write.option("header", True).csv(path)
+    return comparable(csv.read_ratings(spark, path))
+
+
+@query
+def ratings_without_header_lines(spark, folder):
+    """Every file has a header line, and each is dropped by the text in it."""
+    path = f"{shared_folder(spark)}/ratings-{uuid.uuid4().hex}"
+    lines = tables.ratings(spark, folder).select(
+        F.col("user").alias("userID"), F.col("item").alias("productID"), "rating", F.lit(0).alias("time")
+    )
+    lines.write.option("header", True).csv(path)
+    return comparable(csv.read_ratings(spark, path, extra_columns=1, skip_lines_with="userID"))
+
+
+@query
+def known_pairs(spark, folder):
+    """Customers and the suppliers they ordered from, as pairs of numbers in a file."""
+    path = f"{shared_folder(spark)}/pairs-{uuid.uuid4().hex}"
+    pairs = tables.customers_of_suppliers(spark, folder).select(F.col("element").alias("a"), F.col("id").alias("b"))
+    pairs.write.option("header", True).csv(path)
+    return comparable(csv.read_pairs(spark, path))
+
+
 @query
 def train_minus_test(spark, folder):
     test = tables.holdout(spark, folder)
@@ -241,6 +269,33 @@ def _als(spark, folder) -> tuple[DataFrame, DataFrame]:
     return stage(factorization.als_predictions(factorization.fit_als(train), test)), test
 
 
+@query
+def als_scored_pairs(spark, folder):
+    """The targets that the model scores."""
+    return comparable(_als(spark, folder)[0].select("user", "item"))
+
+
+@query
+def als_scaled_bounds(spark, folder):
+    scaled = factorization.scale_to_range(_als(spark, folder)[0])
+    bounds = [F.min("prediction").alias("lowest"), F.max("prediction").alias("highest")]
+    return comparable(scaled.agg(F.count("*").alias("n"), *bounds))
+
+
+@query
+def als_report_counts(spark, folder):
+    return als_error_report(spark, folder).select("method", "n")
+
+
+@query
+def als_normal_equations(spark, folder):
+    """Users of the model, and those whose factors don't solve their own least squares."""
+    train, _ = _split(spark, folder)
+    left = factorization.normal_equation_residuals(factorization.fit_als(train), train)
+    wrong = F.count_if(F.coalesce(F.col("residual") > 1e-3, F.lit(True)))
+    return left.agg(F.count("*").alias("users"), wrong.alias("violations"))
+
+
 @query
 def als_predictions(spark, folder):
     return comparable(_als(spark, folder)[0])

@@ -1,7 +1,8 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from affinis.workloads import ORACLE, QUERIES
 from check import TABLES, rows
 
 from .conftest import SF
@@ -16,16 +17,16 @@ def sql():
 
 
 def test_every_sql_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
-    assert {n for n in queries() if n not in oracle_sql()} == {
+    assert set(ORACLE) <= set(QUERIES) <= set(queries())
+    assert {n for n in QUERIES if n not in ORACLE} == {
         "als_predictions", "als_predictions_scaled", "als_cold_start_filled", "als_error_report"
     }
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, sql, name):
     result = queries()[name](spark, SF)
-    answer = sql.execute(oracle_sql()[name])
+    answer = sql.execute(ORACLE[name])
     columns = [c[0] for c in answer.description]
     assert sorted(columns) == sorted(result.columns)
     assert rows(result.columns, result.collect()) == rows(columns, answer.fetchall())
