@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinis.llm.text import mix, prefix_hashes, row_groups, span_hashes, text_bytes
+from affinis.llm.text import mix, prefix_hashes, row_groups, small_batches, span_hashes, text_bytes
 from affinis.plans import stage
 from affinis.plans.skew import lookup_join
 
@@ -69,28 +69,39 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[: n - width + 1], before[width - 1 : n])
 
 
-def sort_suffixes(symbols: np.ndarray, chosen: np.ndarray, depth: int) -> np.ndarray:
+def smaller_than_next(symbols: np.ndarray) -> np.ndarray:
+    """Whether the suffix at each position is smaller than the one after it; a 0 is smaller than all."""
+    differs = np.flatnonzero(np.append(symbols[1:] != symbols[:-1], True))
+    following = np.repeat(differs, np.diff(differs, prepend=-1))
+    return (symbols < np.append(symbols[1:], 257)[following]) | (symbols == 0)
+
+
+def sort_suffixes(symbols: np.ndarray, chosen: np.ndarray, smaller: np.ndarray, depth: int) -> np.ndarray:
     """The ``chosen`` positions in the order of their suffixes, to ``depth`` symbols.
 
     ``symbols`` are 1 to 256, and 0 after each string and at the end.  With every
     position but a 0 that is larger than its successor, the next one is chosen too.
     """
-    n = symbols.size
-    differs = np.flatnonzero(np.append(symbols[1:] != symbols[:-1], True))
-    following = differs[np.searchsorted(differs, np.arange(n))]
-    smaller = symbols < np.append(symbols[1:], 257)[following]
-    smaller |= symbols == 0
-    induced = np.zeros(n, bool)
+    induced = np.zeros(symbols.size, bool)
     induced[chosen] = ~smaller[chosen]
 
+    # By the first seven symbols, then equal ones by the rest.
     direct = chosen[smaller[chosen]]
-    raw = symbols.astype(">u2").tobytes()
+    padded = np.append(symbols, np.zeros(7, symbols.dtype))
+    lead = np.zeros(direct.size, np.int64)
+    for k in range(7):
+        lead = lead << 9 | padded[direct + k]
+    order = np.argsort(lead, kind="stable")
+    direct, lead = direct[order], lead[order]
+    new = np.flatnonzero(np.diff(lead, prepend=-1))
     stop = np.flatnonzero(symbols == 0)
     ends = np.minimum(stop[np.searchsorted(stop, direct)], direct + depth)
-    keys = [raw[2 * a : 2 * b] for a, b in zip(direct.tolist(), ends.tolist())]
-    direct = direct[np.array(sorted(range(len(keys)), key=keys.__getitem__), np.int64)]
-    first = symbols[direct]
-    limits = np.searchsorted(first, np.arange(258))
+    raw = (symbols - 1).astype(np.uint8).tobytes()
+    for a, b in zip(new.tolist(), np.append(new[1:], direct.size).tolist()):
+        if b - a > 1:
+            part = zip(direct[a:b].tolist(), ends[a:b].tolist())
+            direct[a:b] = [i for _, i in sorted((raw[i + 7 : end], i) for i, end in part)]
+    limits = np.searchsorted(symbols[direct], np.arange(258))
 
     order: list[np.ndarray] = []
     waiting: list[list[np.ndarray]] = [[] for _ in range(257)]
@@ -123,9 +134,7 @@ def repeated_starts(contexts: list[bytes], length: int) -> list[np.ndarray]:
     window = np.zeros(symbols.size, bool)
     window[place] = True
     # A window that is larger than its successor is induced from it, up to the next smaller one.
-    differs = np.flatnonzero(np.append(symbols[1:] != symbols[:-1], True))
-    following = differs[np.searchsorted(differs, np.arange(symbols.size))]
-    smaller = (symbols < np.append(symbols[1:], 257)[following]) | (symbols == 0)
+    smaller = smaller_than_next(symbols)
     stops = np.flatnonzero(smaller)
     last = first + count - 1
     ends = stops[np.searchsorted(stops, last)]
@@ -133,7 +142,7 @@ def repeated_starts(contexts: list[bytes], length: int) -> list[np.ndarray]:
     extra = np.repeat(last + 1 - (np.cumsum(more) - more), more) + np.arange(more.sum())
     chosen = window.copy()
     chosen[extra] = True
-    order = sort_suffixes(symbols, np.flatnonzero(chosen), length)
+    order = sort_suffixes(symbols, np.flatnonzero(chosen), smaller, length)
     order = order[window[order]]
     same = np.flatnonzero(_common_prefix(symbols, order[:-1], order[1:], length))
     repeated = np.zeros(symbols.size, bool)
@@ -383,6 +392,7 @@ def remove_repeats(
     Stages intermediates, so it runs jobs when called.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = stage(docs.mapInArrow(describe_rows, "doc_id BIGINT, n BIGINT, tid BINARY, sha BINARY"))
     buckets = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

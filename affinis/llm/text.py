@@ -5,13 +5,14 @@ A null text counts as empty.  Nothing here looks at more than one Arrow batch.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
@@ -19,6 +20,7 @@ from pyspark.sql.types import StructField, StructType
 # Bytes hashed at a time, and bytes of the documents worked on together; a longer document is worked on alone.
 SLICE = 1 << 20
 GROUP = 4 << 20
+BATCH = 8 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -197,6 +199,17 @@ def add_columns(
     return docs.mapInArrow(run, schema)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark hand Python workers batches of up to ``BATCH`` of bytes, unless the session asks for smaller ones.
+
+    Several workers share an executor's memory, and lists made from a batch take a multiple of it.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", spark.conf.get(name).strip().lower()).groups()
+    if not 0 < int(number) << 10 * " kmgt".index(unit or " ") <= BATCH:
+        spark.conf.set(name, str(BATCH))
+
+
 def positional(docs: DataFrame) -> DataFrame:
     """The same rows with columns c0, c1, ... so that no added column clashes; undo with ``toDF(*docs.columns)``."""
     return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
