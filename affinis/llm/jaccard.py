@@ -10,14 +10,16 @@ sketch of single bits, and what is left is verified on the sets.
 
 Very frequent shingles would make very large groups, so blocks are made without them;
 a set that fills too few blocks that way takes part with all its shingles as well.
-Within a group, only one member is compared with all others; the rest are compared
-where the links found so far leave them in different components.
+Within a group, only one member is compared with all others.  Then each member is
+compared with the nearest one that the links found so far leave in another component,
+and last all are that are still apart and may be close enough.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import partial
 from hashlib import sha256
 from typing import NamedTuple
 
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinis.llm.components import components
-from affinis.llm.text import byte_class, find_words, mix, row_groups, text_bytes, window_hashes
+from affinis.llm.text import byte_class, find_words, mix, row_groups, small_batches, text_bytes, window_hashes
 from affinis.plans import stage
 from affinis.plans.skew import lookup_join
 
@@ -39,6 +41,8 @@ FREQUENT_SHARE = 0.002
 FREQUENT_SHINGLES = 100_000
 # Ids of sets broadcast to a scan; more are joined.
 BROADCAST_IDS = 1_000_000
+# Bytes of the sketches that tell which sets are near each other.
+SHORT = 64
 # Pairs of one group whose distances are taken at once.
 TILE = 256
 
@@ -132,22 +136,24 @@ def _keys(band: Band, level: int, block: np.ndarray, value: np.ndarray) -> np.nd
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size, id and bit sketch of each document's set; and shingles frequent among the documents of a batch."""
-    names = ["doc_id", "n", "sid", "sketch", "shingle", "seen"]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    names = ["doc_id", "n", "sid", "sketch", "short", "shingle", "seen"]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
     for batch in batches:
         _, offsets = text_bytes(batch.column(1))
         for a, b in row_groups(offsets):
             sets = list(shingle_sets(batch.column(1).slice(a, b - a)))
             n = [s.size for s in sets]
             columns = [batch.column(0).slice(a, b - a), n, [set_id(s) if s.size else None for s in sets]]
-            columns += [[bit_sketch(s) if s.size else None for s in sets], [None] * len(n), [None] * len(n)]
+            sketches = [bit_sketch(s) if s.size else None for s in sets]
+            short = [s and fold(np.frombuffer(s, np.uint8), SHORT).tobytes() for s in sketches]
+            columns += [sketches, short, [None] * len(n), [None] * len(n)]
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names=names
             )
             value, count = np.unique(np.concatenate(sets), return_counts=True)
             often = count >= max(4, FREQUENT_SHARE * len(n))
             none = [None] * int(often.sum())
-            columns = [none, none, none, none, value[often].view(np.int64), count[often]]
+            columns = [none, none, none, none, none, value[often].view(np.int64), count[often]]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
@@ -199,7 +205,7 @@ def _messages(frequent, buckets: int):
 
 
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of each key that several sets have, named by a hash of all members so that equal groups become one."""
+    """Members of each key that several sets have and the first of them, the group named by a hash of all members."""
     bucket, keys, sids = None, [], []
 
     def groups() -> Iterator[pa.RecordBatch]:
@@ -225,6 +231,7 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.diff(np.append(first, key.size))
         name = np.repeat(np.add.reduceat(mix(own), first), size)
         several = np.repeat(size > 1, size)
+        lead = raw[np.repeat(first, size)][several].tobytes()
         name, raw = name[several], raw[several].tobytes()
         for a in range(0, name.size, 50_000):
             b = min(name.size, a + 50_000)
@@ -232,8 +239,9 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array(name[a:b].view(np.int64)),
                     pa.array([raw[ID * k : ID * k + ID] for k in range(a, b)], pa.binary()),
+                    pa.array([lead[ID * k : ID * k + ID] for k in range(a, b)], pa.binary()),
                 ],
-                names=["grp", "sid"],
+                names=["grp", "sid", "lead"],
             )
 
     for batch in batches:
@@ -248,11 +256,13 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from groups()
 
 
-def _near(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
-    """Whether sketches of one width are as close as linked sets of these sizes are."""
-    distance = np.bitwise_count(left ^ right).sum(-1)
-    size = n_left + n_right
-    return (9 * distance <= size) & (5 * np.minimum(n_left, n_right) >= 4 * np.maximum(n_left, n_right))
+def _near(
+    left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hamming distance of sketches of one width, and whether linked sets of these sizes can be as far apart."""
+    distance = np.bitwise_count(left ^ right).sum(-1, dtype=np.int64)
+    fits = 5 * np.minimum(n_left, n_right) >= 4 * np.maximum(n_left, n_right)
+    return distance, fits & (9 * distance <= n_left + n_right)
 
 
 def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,13 +273,16 @@ def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(len(a)):
             x, y = np.frombuffer(sa[k], np.uint8), np.frombuffer(sb[k], np.uint8)
             size = min(x.size, y.size)
-            if _near(fold(x, size), fold(y, size), np.int64(na[k]), np.int64(nb[k])):
+            if _near(fold(x, size), fold(y, size), np.int64(na[k]), np.int64(nb[k]))[1]:
                 kept.append(k)
         yield batch.take(pa.array(kept, pa.int32())).select(["a", "b"])
 
 
-def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Close pairs of a group's members in different components; rows come group by group."""
+def _open_pairs(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Close pairs of a group's members in different components, all or each member's nearest.
+
+    Rows come group by group; pairs that a task meets again soon are left out.
+    """
 
     def pairs(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
         if len({root for _, root, _, _ in rows}) < 2:
@@ -286,32 +299,40 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: dict[bytes, int] = {}
         root = np.array([index.setdefault(r[1], len(index)) for r in rows])
         for a in range(0, len(rows), TILE):
-            for b in range(a, len(rows), TILE):
-                close = _near(
-                    sketch[a : a + TILE, None], sketch[None, b : b + TILE], n[a : a + TILE, None], n[None, b : b + TILE]
-                )
-                close &= root[a : a + TILE, None] != root[None, b : b + TILE]
+            best, partner = np.full(len(rows[a : a + TILE]), np.inf), np.zeros(len(rows[a : a + TILE]), np.int64)
+            for b in range(0 if nearest else a, len(rows), TILE):
+                x, y = slice(a, a + TILE), slice(b, b + TILE)
+                distance, close = _near(sketch[x, None], sketch[None, y], n[x, None], n[None, y])
+                close &= root[x, None] != root[None, y]
+                if nearest:
+                    distance = np.where(close, distance, np.inf)
+                    least = distance.min(1)
+                    partner = np.where(least < best, b + distance.argmin(1), partner)
+                    best = np.minimum(best, least)
+                    continue
                 for i, j in np.argwhere(close):
                     if a + i < b + j:
                         yield tuple(sorted((rows[a + i][0], rows[b + j][0])))
+            for i in np.flatnonzero(best < np.inf):
+                yield tuple(sorted((rows[a + i][0], rows[partner[i]][0])))
 
     def packed(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [pa.array([p[0] for p in found], pa.binary()), pa.array([p[1] for p in found], pa.binary())], names=["a", "b"]
         )
 
-    group, rows, found = None, [], []
+    group, rows, found = None, [], set()
     for batch in batches:
         for of, *row in zip(*(c.to_pylist() for c in batch.columns)):
             if of != group:
-                found.extend(pairs(rows))
+                found.update(pairs(rows))
                 group, rows = of, []
             rows.append(tuple(row))
-            if len(found) > 10_000:
-                yield packed(found)
-                found = []
-    found.extend(pairs(rows))
-    yield packed(found)
+            if len(found) > 100_000:
+                yield packed(list(found))
+                found = set()
+    found.update(pairs(rows))
+    yield packed(list(found))
 
 
 def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -368,24 +389,29 @@ def linked_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     are not read.  Stages intermediates, so it runs jobs when called.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     described = stage(
-        docs.mapInArrow(_describe, "doc_id BIGINT, n BIGINT, sid BINARY, sketch BINARY, shingle BIGINT, seen BIGINT")
+        docs.mapInArrow(
+            _describe, "doc_id BIGINT, n BIGINT, sid BINARY, sketch BINARY, short BINARY, shingle BIGINT, seen BIGINT"
+        )
     )
     rows = described.filter("n is not null")
     sets = rows.filter("n > 0").groupBy("sid").agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+        F.first("short").alias("short"),
     )
     frequent = spark.sparkContext.broadcast(_frequent(described, rows.count()))
     buckets = 8 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     messages = docs.select("text").mapInArrow(_messages(frequent, buckets), "bucket INT, keys BINARY, sids BINARY")
     dealt = messages.repartition("bucket").sortWithinPartitions("bucket")
-    members = stage(dealt.mapInArrow(_shared_keys, "grp BIGINT, sid BINARY").distinct())
+    # Groups of the same members are one from here on.
+    members = stage(dealt.mapInArrow(_shared_keys, "grp BIGINT, sid BINARY, lead BINARY").distinct())
 
     # One member of each group against all others.
-    leads = members.groupBy("grp").agg(F.min("sid").alias("a"))
-    pairs = members.join(leads, "grp").filter("sid <> a").select("a", F.col("sid").alias("b")).distinct()
-    sketches = stage(sets.select("sid", "n", "sketch").join(members.select("sid").distinct(), "sid", "left_semi"))
+    pairs = members.filter("sid <> lead").select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b"))
+    pairs = pairs.distinct()
+    sketches = stage(sets.select("sid", "n", "sketch", "short").join(members.select("sid").distinct(), "sid", "left_semi"))
     for side in ("a", "b"):
         own = sketches.select(F.col("sid").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}"))
         pairs = pairs.join(own, side)
@@ -394,16 +420,19 @@ def linked_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     links = _verify(first, docs)
 
     # The others, where a group still has members of several components.
+    done = first
     roots = stage(components(links)).withColumnRenamed("node", "sid")
-    placed = members.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    mixed = placed.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    placed = placed.join(mixed.select("grp"), "grp", "left_semi").join(sketches, "sid")
-    placed = placed.select("grp", "sid", "root", "n", "sketch").repartition("grp").sortWithinPartitions("grp")
-    open_pairs = placed.mapInArrow(_open_pairs, "a BINARY, b BINARY").distinct()
-    second = stage(open_pairs.join(first, ["a", "b"], "left_anti"))
-    if not second.isEmpty():
-        links = links.unionAll(_verify(second, docs))
-        roots = stage(components(links)).withColumnRenamed("node", "sid")
+    for nearest in (True, False):
+        # A short sketch is enough to tell which is near.
+        sketch = F.col("short" if nearest else "sketch").alias("sketch")
+        known = sketches.join(roots, "sid", "left").select("sid", F.coalesce("root", "sid").alias("root"), "n", sketch)
+        placed = members.select("grp", "sid").join(known, "sid").select("grp", "sid", "root", "n", "sketch")
+        placed = placed.repartition("grp").sortWithinPartitions("grp")
+        pairs = placed.mapInArrow(partial(_open_pairs, nearest), "a BINARY, b BINARY").distinct()
+        pairs = stage(pairs.join(done, ["a", "b"], "left_anti"))
+        if not pairs.isEmpty():
+            done, links = done.unionAll(pairs), links.unionAll(_verify(pairs, docs))
+            roots = stage(components(links)).withColumnRenamed("node", "sid")
 
     placed = stage(sets.select("sid", "least").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid")))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
