@@ -160,15 +160,19 @@ def learn(labelled: DataFrame, path: str | None = None, sample: int = SAMPLE, ro
     """Piece probabilities of each ``lang`` of ``labelled`` (doc_id, text, lang), by expectation maximisation.
 
     Learns from up to ``sample`` whole documents a language, those with the lowest
-    hash of the id; rows with a null in any of the columns are left out.  What
-    comes to the driver is bounded by languages times pieces.  Runs jobs.
+    hash of the id, ranked among an expected four times as many; rows with a null
+    in any of the columns are left out.  What comes to the driver is bounded by
+    languages times pieces.  Runs jobs.
     """
     spark = labelled.sparkSession
     pieces = load_pieces(path or public_tokenizers.path(PIECES))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = Window.partitionBy("lang").orderBy("u", "doc_id")
     rows = labelled.filter("text is not null and lang is not null and doc_id is not null")
-    chosen = rows.select("lang", "doc_id").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= sample)
-    chosen = chosen.select("lang", "doc_id").distinct()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    uniform = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
+    low = rows.select("lang", "doc_id", uniform.alias("u")).join(F.broadcast(counts), "lang")
+    low = low.filter(F.col("u") * F.col("n") < 4 * sample).select("lang", "doc_id", "u").distinct()
+    chosen = low.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= sample).select("lang", "doc_id")
     words = rows.join(F.broadcast(chosen), ["lang", "doc_id"], "left_semi").select("lang", "text")
     words = words.mapInArrow(_count_words, "lang STRING, word BINARY, n BIGINT")
     words = words.groupBy("lang", "word").agg(F.sum("n").alias("n")).cache()
