@@ -15,9 +15,11 @@ Spark.  A segment is one value of bytes, all numbers little-endian:
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -27,17 +29,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from affinis.llm.text import byte_class, find_words, row_groups, text_bytes
+from affinis.llm.text import byte_class, find_words, row_groups, small_batches, text_bytes
 from affinis.plans.staging import shared_folder
 
+# Spark runs a task on each core, so the library need not start threads of its own.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 VOCABULARY = "word_bpe_49k.json"
 END = 2
 # Ids in a segment before it is closed after a document.
 SEGMENT_IDS = 1 << 16
 # Bits of a bitmap that one entry of its rank directory covers.
 BLOCK = 512
-# Words remembered by a task.
+# Words remembered by a worker process, words given to the library at once, and bytes of text worked on together.
 REMEMBERED = 300_000
+BATCH_WORDS = 2_000
+GROUP_BYTES = 2 << 20
 
 MAGIC = b"DAC1"
 FILE = "part INT, seq INT, start BIGINT, n_ids BIGINT, segment BINARY"
@@ -69,32 +76,51 @@ class Encoder:
         self.starts, self.sizes = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.ids, self.used = np.zeros(4096, np.uint32), 0
 
+    def _ids(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of words; those of plain letters are one piece to the library and go to its model at once."""
+        found: list[list[int] | None] = [None] * len(words)
+        others = []
+        for k, word in enumerate(words):
+            if word.isalpha():
+                found[k] = [t.id for t in self.tokenizer.model.tokenize(word.decode())]
+            else:
+                others.append(k)
+        for a in range(0, len(others), BATCH_WORDS):
+            part = others[a : a + BATCH_WORDS]
+            coded = self.tokenizer.encode_batch([words[k].decode() for k in part], add_special_tokens=False)
+            for k, one in zip(part, coded):
+                found[k] = one.ids
+        return found
+
     def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if w.isalpha()]
-        found = [[t.id for t in self.tokenizer.model.tokenize(w.decode().lower())] for w in plain]
-        others = [w for w in words if not w.isalpha()]
-        coded = self.tokenizer.encode_batch([w.decode() for w in others], add_special_tokens=False)
-        for word, ids in zip(plain + others, found + [c.ids for c in coded]):
-            at = len(self.known)
-            if at == self.starts.size:
-                self.starts, self.sizes = np.resize(self.starts, 2 * at), np.resize(self.sizes, 2 * at)
-            while self.used + len(ids) > self.ids.size:
-                self.ids = np.resize(self.ids, 2 * self.ids.size)
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.starts[at], self.sizes[at] = self.used, len(ids)
-            self.known[word] = at
-            self.used += len(ids)
+        ids = self._ids(words)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        at, used = len(self.known), self.used + int(sizes.sum())
+        while at + len(ids) > self.starts.size:
+            self.starts, self.sizes = np.resize(self.starts, 2 * self.starts.size), np.resize(self.sizes, 2 * self.sizes.size)
+        while used > self.ids.size:
+            self.ids = np.resize(self.ids, 2 * self.ids.size)
+        self.ids[self.used : used] = np.fromiter(chain.from_iterable(ids), np.uint32, used - self.used)
+        self.starts[at : at + len(ids)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[at : at + len(ids)] = sizes
+        self.known.update(zip(words, range(at, at + len(ids))))
+        self.used = used
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by ``end``, and the end of each text among them."""
         data, offsets = text_bytes(texts)
         words = find_words(data, offsets, ~SPACE, lower=False, cut=_cut)
         _, some, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-        spelled = [data[words.starts[i] : words.ends[i]].tobytes() for i in some]
+        raw = data.tobytes()
+        spelled = [raw[a:b] for a, b in zip(words.starts[some].tolist(), words.ends[some].tolist())]
+        # The vocabulary is of lower case; other letters than A-Z may not be composed alike in both cases.
+        spelled = [w.lower() if w.isascii() else w for w in spelled]
         if len(self.known) > REMEMBERED:
             self._forget()
-        self._learn([w for w in spelled if w not in self.known])
-        row = np.array([self.known[w] for w in spelled], np.int64)[which]
+        new = [w for w in dict.fromkeys(spelled) if w not in self.known]
+        if new:
+            self._learn(new)
+        row = np.fromiter(map(self.known.__getitem__, spelled), np.int64, len(spelled))[which]
         # The end of a text is one more word, the last of each.
         at = words.first[1:]
         starts = np.insert(self.starts[row], at, self.used)
@@ -106,6 +132,17 @@ class Encoder:
         return ids, ends[at + np.arange(at.size)]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(vocabulary: str) -> Encoder:
+    """The encoder of a worker process, kept from task to task with the words it knows."""
+    if vocabulary not in _encoders:
+        _encoders.clear()
+        _encoders[vocabulary] = Encoder(vocabulary)
+    return _encoders[vocabulary]
+
+
 def write_segment(doc_ids: list[int | None], ends: np.ndarray, ids: np.ndarray) -> bytes:
     """One segment of documents with the given ids, document k ending before ``ends[k]``."""
     levels, left = [], ids.astype(np.uint32)
@@ -203,7 +240,7 @@ def _write(encoder: Callable[[], Encoder], end: int, segment_ids: int):
 
         for batch in batches:
             _, offsets = text_bytes(batch.column(1))
-            for a, b in row_groups(offsets):
+            for a, b in row_groups(offsets, GROUP_BYTES):
                 coded, ends = own.encode(batch.column(1).slice(a, b - a), end)
                 doc_ids = batch.column(0).slice(a, b - a).to_pylist()
                 done = row = 0
@@ -242,10 +279,11 @@ def write_tokens(
     """
     with open(vocabulary or public_tokenizers.path(VOCABULARY), encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     order = ["doc_id", F.xxhash64("text")]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
-    rows.mapInArrow(_write(lambda: Encoder(shared.value), end, segment_ids), FILE).write.parquet(path)
+    rows.mapInArrow(_write(lambda: encoder_of(shared.value), end, segment_ids), FILE).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
