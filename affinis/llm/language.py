@@ -123,6 +123,25 @@ def expected_counts(words: np.ndarray, weight: np.ndarray, pieces: Pieces, proba
     return counts
 
 
+def expected_long(word: bytes, weight: float, pieces: Pieces, probability: np.ndarray) -> np.ndarray:
+    """The same for one word of any length, with logarithms of the sums; memory of some numbers a byte."""
+    data = np.frombuffer(word, np.uint8)
+    sums, size = prefix_hashes(data), data.size
+    alpha, beta = np.zeros(size + 1), np.zeros(size + 1)
+    for end in range(1, size + 1):
+        starts = np.arange(max(0, end - pieces.longest), end)
+        piece = pieces.number(span_hashes(sums, starts, np.full(starts.size, end)))
+        alpha[end] = alpha[end - 1] + np.log((np.exp(alpha[starts] - alpha[end - 1]) * probability[piece]).sum())
+    counts = np.zeros(pieces.hashes.size + 1)
+    for start in range(size - 1, -1, -1):
+        ends = np.arange(start + 1, min(size, start + pieces.longest) + 1)
+        piece = pieces.number(span_hashes(sums, np.full(ends.size, start), ends))
+        value = np.exp(beta[ends] - beta[start + 1]) * probability[piece]
+        beta[start] = beta[start + 1] + np.log(value.sum())
+        np.add.at(counts, piece, weight * value * np.exp(alpha[start] + beta[start + 1] - alpha[size]))
+    return counts
+
+
 def by_length(words: list[bytes]):
     """Indices and byte rows of the words of each length up to SHORT."""
     sizes = np.array([len(w) for w in words])
@@ -136,16 +155,15 @@ def _spell(data: np.ndarray, start: int, end: int) -> bytes:
 
 
 def _count_words(batches):
-    """Words of up to SHORT bytes of each language with their counts, one batch at a time."""
+    """Words of each language with their counts, one batch at a time."""
     for batch in batches:
         found: dict[tuple[str, bytes], int] = {}
         for lang, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
             data, offsets = text_bytes(pa.array([texts.as_py()], pa.string()))
             words = find_words(data, offsets, LETTERS)
             for a, b in zip(words.starts.tolist(), words.ends.tolist()):
-                if b - a < SHORT:
-                    key = lang, _spell(data, a, b)
-                    found[key] = found.get(key, 0) + 1
+                key = lang, _spell(data, a, b)
+                found[key] = found.get(key, 0) + 1
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([k[0] for k in found], pa.string()),
@@ -189,8 +207,12 @@ def learn(labelled: DataFrame, path: str | None = None, sample: int = SAMPLE, ro
             for frame in frames:
                 for lang, part in frame.groupby("lang"):
                     k, weight = languages.index(lang), part["n"].to_numpy(float)
-                    for index, rows in by_length([bytes(w) for w in part["word"]]):
+                    spelt = [bytes(w) for w in part["word"]]
+                    for index, rows in by_length(spelt):
                         total[k] += expected_counts(rows, weight[index], pieces, probability[:, k])
+                    for word, n in zip(spelt, weight):
+                        if len(word) > SHORT:
+                            total[k] += expected_long(word, n, pieces, probability[:, k])
             k, piece = np.nonzero(total)
             yield pd.DataFrame({"k": k, "piece": piece, "n": total[k, piece]})
 

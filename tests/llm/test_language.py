@@ -88,3 +88,24 @@ def test_hard_rows(spark):
     assert by_id(g.digest(docs.filter("lang is null")), "lang_pred", "score") == {4: ("und", 0.0)}
     clash = docs.withColumnRenamed("lang", "lang_pred")
     assert g.identify(clash, toy()).columns == ["doc_id", "text", "lang_pred", "score"]
+
+
+def test_expected_counts_of_long_words():
+    probability = toy().probability[:, 0]
+    word = b" internationalisation"
+    rows = np.frombuffer(word, np.uint8).reshape(1, -1)
+    assert np.allclose(
+        g.expected_long(word, 3.0, PIECES, probability), g.expected_counts(rows, np.array([3.0]), PIECES, probability)
+    )
+    # Every byte of a long word lies in one piece.
+    sizes = g.expected_long(b" " + "日本語の文章".encode() * 200, 1.0, PIECES, probability)
+    assert np.isfinite(sizes).all() and sizes.sum() > 3600 / PIECES.longest
+
+
+def test_languages_without_spaces_are_learned(spark):
+    rows = [(k, "日本語の文章には空白がありません。単語は続けて書かれます。" + "漢字と仮名" * (k + 1), "ja") for k in range(5)]
+    rows += [(10 + k, "the words of this text are short and apart", "en") for k in range(5)]
+    model = g.learn(frame(spark, rows, ", lang STRING"))
+    assert model.languages == ["en", "ja"]
+    docs = frame(spark, [(1, "空白がありません。漢字と仮名で書かれます。日本語の文章です。"), (2, "short words of a text")])
+    assert by_id(g.identify(docs, model), "lang_pred") == {1: ("ja",), 2: ("en",)}
