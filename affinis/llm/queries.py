@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from affinis.llm import (
-    bpe, cross_entropy, decontaminate, exact, jaccard, language, passages, quality, suffix, tokens,
+    bpe, collocations, cross_entropy, decontaminate, exact, jaccard, language, passages, quality, suffix, tokens,
 )
 from affinis.llm.text import read
 
@@ -52,6 +52,10 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(read(spark, folder, "documents"))
 
 
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.digest(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language": op2_language,
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cross_entropy": op8_cross_entropy,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_collocations": op13_collocations,
 }
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -72,4 +77,30 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
             doc_id = max(doc_id) OVER same AS kept, sha256({LOWER}) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY {LOWER})""",
+    "op13_collocations": f"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        texts AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \x09]+'), lambda x: x <> '') AS w FROM pieces),
+        places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM texts),
+        spans AS (SELECT lang, w[i:i + k - 1] AS p FROM places, range(1, 6) AS ks(k) WHERE i + k - 1 <= len(w)),
+        f AS (SELECT lang, p, count(*)::HUGEINT AS f FROM spans GROUP BY ALL),
+        sizes AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE len(p) = 1 GROUP BY lang),
+        found AS (SELECT lang, p, f AS a FROM f WHERE len(p) > 1 AND f >= 100),
+        cuts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM found),
+        scored AS (
+            SELECT c.lang, c.p, c.a, x.f AS l, y.f AS r, n, k, (1000 * c.a * n) // (x.f * y.f) AS score
+            FROM cuts c JOIN f x ON x.lang = c.lang AND x.p = c.p[:k] JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:]
+            JOIN sizes s ON s.lang = c.lang),
+        worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+        starts AS (SELECT lang, p, a, unnest(range(1, len(p))) AS i FROM found WHERE len(p) > 2),
+        inner_spans AS (
+            SELECT lang, p[i:i + m - 1] AS p, a FROM starts, range(2, 5) AS ms(m) WHERE m < len(p) AND i + m - 1 <= len(p)),
+        covers AS (SELECT lang, p, max(a) AS most FROM inner_spans GROUP BY ALL),
+        named AS (
+            SELECT w.*, array_to_string(w.p, ' ') AS phrase FROM worst w LEFT JOIN covers v ON v.lang = w.lang AND v.p = w.p
+            WHERE v.most IS NULL OR 100 * v.most < 100 * w.a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+            a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+        FROM named QUALIFY rank <= 2000""",
 }
