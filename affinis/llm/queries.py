@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from affinis.llm import (
-    bpe, collocations, cross_entropy, decontaminate, exact, jaccard, language, passages, quality, suffix, tokens,
+    bpe, collocations, cross_entropy, decontaminate, exact, hard_negatives, jaccard, language, passages, pieces, quality,
+    suffix, tokens,
 )
 from affinis.llm.text import read
 
@@ -52,6 +53,14 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(read(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.digest(read(spark, folder, "embeddings"))
+
+
+def op12_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digest(read(spark, folder, "documents"))
+
+
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.digest(read(spark, folder, "documents"))
 
@@ -67,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cross_entropy": op8_cross_entropy,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_pieces": op12_pieces,
     "op13_collocations": op13_collocations,
 }
 
@@ -77,6 +88,25 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
             doc_id = max(doc_id) OVER same AS kept, sha256({LOWER}) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY {LOWER})""",
+    "op11_hard_negatives": """
+        WITH points AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM points a JOIN points b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id,
+            row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+            vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same
+            AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10""",
     "op13_collocations": f"""
         WITH pieces AS (
             SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
