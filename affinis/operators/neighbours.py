@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinis.plans.skew import GROUP_LIMIT, hot_groups, pair_join, split_join
 from affinis.plans.staging import stage
 
+# Weights of rounding errors only, in centred sums.
+TOLERANCE = 1e-12
 # Fewer common ratings than this give no weight.
 MIN_SUPPORT = 2
 
 _SUMS = ["n", "sx", "sy", "sxy", "sxx", "syy"]
+_MOMENTS = ["n", "mx", "my", "cxy", "cxx", "cyy"]
+
+
+class Statistic(NamedTuple):
+    """What is kept of the common ratings of a pair: ``of`` rows ``id1, id2, x, y``, and ``merged`` partial results."""
+
+    of: Callable[[DataFrame], DataFrame]
+    merged: Callable[[DataFrame], DataFrame]
 
 
 def _terms(pairs: DataFrame) -> DataFrame:
@@ -33,6 +46,53 @@ def _total(terms: DataFrame) -> DataFrame:
     return terms.groupBy("id1", "id2").agg(*[F.sum(c).alias(c) for c in _SUMS])
 
 
+def _moments(pairs: DataFrame) -> DataFrame:
+    """``id1, id2``, the number, the means and the centred sums of products of the common ratings.
+
+    Spark's moment aggregates update and merge these by differences from
+    running means, so nothing cancels however far ratings are from zero.
+    """
+    n = F.count("*")
+    return pairs.groupBy("id1", "id2").agg(
+        n.alias("n"),
+        F.avg("x").alias("mx"),
+        F.avg("y").alias("my"),
+        (F.covar_pop("x", "y") * n).alias("cxy"),
+        (F.var_pop("x") * n).alias("cxx"),
+        (F.var_pop("y") * n).alias("cyy"),
+    )
+
+
+def _pooled(a: Column, b: Column) -> Column:
+    """Moments of two groups of ratings together."""
+    n = a["n"] + b["n"]
+    dx, dy = b["mx"] - a["mx"], b["my"] - a["my"]
+    part = b["n"] / n
+    apart = a["n"] * part
+    return F.struct(
+        n.alias("n"),
+        (a["mx"] + dx * part).alias("mx"),
+        (a["my"] + dy * part).alias("my"),
+        (a["cxy"] + b["cxy"] + dx * dy * apart).alias("cxy"),
+        (a["cxx"] + b["cxx"] + dx * dx * apart).alias("cxx"),
+        (a["cyy"] + b["cyy"] + dy * dy * apart).alias("cyy"),
+    )
+
+
+def _merged_moments(states: DataFrame) -> DataFrame:
+    """Partial moments of each pair, of which there are few, put together two by two in a fixed order."""
+    listed = F.array_sort(F.collect_list(F.struct(*_MOMENTS)))
+    grouped = states.groupBy("id1", "id2").agg(listed.alias("parts"))
+    rest = F.slice("parts", F.lit(2), F.size("parts"))
+    return grouped.select("id1", "id2", F.aggregate(rest, F.get("parts", F.lit(0)), _pooled).alias("m")).select(
+        "id1", "id2", "m.*"
+    )
+
+
+SUMS = Statistic(lambda pairs: _total(_terms(pairs)), _total)
+MOMENTS = Statistic(_moments, _merged_moments)
+
+
 def _rows(ratings: DataFrame, entity: str, feature: str) -> DataFrame:
     """``id, f, r`` of the ratings that have a value."""
     rows = ratings.select(F.col(entity).alias("id"), F.col(feature).alias("f"), F.col("rating").alias("r"))
@@ -40,10 +100,17 @@ def _rows(ratings: DataFrame, entity: str, feature: str) -> DataFrame:
 
 
 def co_rating_sums(
-    ratings: DataFrame, entity: str, feature: str, min_support: int = MIN_SUPPORT, limit: int = GROUP_LIMIT
+    ratings: DataFrame,
+    entity: str,
+    feature: str,
+    min_support: int = MIN_SUPPORT,
+    limit: int = GROUP_LIMIT,
+    statistic: Statistic = SUMS,
 ) -> DataFrame:
     """``id1, id2, n`` and rating sums of all entity pairs with ``n >= min_support`` (at least 2).
 
+    ``statistic`` says what is kept of the ratings: ``SUMS`` of products, or ``MOMENTS`` around the means.
+
     An inverted-index self-join on ``feature``, aggregated before the shuffle by
     pair.  Ratings without a value count for nothing.  Runs one counting job.
     Features whose pairs exceed ``limit`` and an average task are
@@ -60,15 +127,15 @@ def co_rating_sums(
     rows = _rows(ratings, entity, feature)
     hot = hot_groups(rows, ["f"], limit)
     if hot is None:
-        terms = _terms(pair_join(rows, ["f"], "id", {"r": ("x", "y")}, limit=None))
-        return _total(terms).filter(F.col("n") >= min_support)
+        pairs = pair_join(rows, ["f"], "id", {"r": ("x", "y")}, limit=None)
+        return statistic.of(pairs).filter(F.col("n") >= min_support)
 
     common = rows.join(hot, "f")
     left_out = common.groupBy("id").agg(F.max(F.struct("_n", "f", "r")).alias("top")).select("id", "top.f", "top.r")
     indexed = rows.join(left_out.select("id", "f"), ["id", "f"], "left_anti")
     common_indexed = common.join(left_out.select("id", "f"), ["id", "f"], "left_anti")
 
-    met = stage(_total(_terms(pair_join(indexed, ["f"], "id", {"r": ("x", "y")}, limit))))
+    met = stage(statistic.of(pair_join(indexed, ["f"], "id", {"r": ("x", "y")}, limit)))
     pairs = met.select("id1", "id2")
 
     def side(frame: DataFrame, number: int, value: str) -> DataFrame:
@@ -78,8 +145,8 @@ def co_rating_sums(
     # Each id has left out one at most, so both are lookups of single rows.
     first = pairs.join(side(left_out, 1, "x"), "id1").join(side(common, 2, "y"), ["id2", "f"])
     second = pairs.join(side(left_out, 2, "y"), "id2").join(side(common_indexed, 1, "x"), ["id1", "f"])
-    terms = met.unionByName(_terms(first)).unionByName(_terms(second))
-    return _total(terms).filter(F.col("n") >= min_support)
+    looked_up = statistic.of(first.select("id1", "id2", "x", "y").unionByName(second.select("id1", "id2", "x", "y")))
+    return statistic.merged(met.unionByName(looked_up)).filter(F.col("n") >= min_support)
 
 
 def co_rating_sums_of(
@@ -89,6 +156,7 @@ def co_rating_sums_of(
     feature: str,
     min_support: int = MIN_SUPPORT,
     limit: int = GROUP_LIMIT,
+    statistic: Statistic = SUMS,
 ) -> DataFrame:
     """The sums of ``co_rating_sums`` for given pairs ``id1 < id2`` only.
 
@@ -117,7 +185,7 @@ def co_rating_sums_of(
         F.when(turned, F.col("rs")).otherwise(F.col("rl")).alias("x"),
         F.when(turned, F.col("rl")).otherwise(F.col("rs")).alias("y"),
     )
-    return _total(_terms(terms)).filter(F.col("n") >= min_support)
+    return statistic.of(terms).filter(F.col("n") >= min_support)
 
 
 def co_rated_pairs(ratings: DataFrame, entity: str, feature: str, min_support: int = MIN_SUPPORT) -> DataFrame:
@@ -129,8 +197,8 @@ def pearson(sums: DataFrame, tolerance: float = 0.0) -> DataFrame:
     """``id1, id2, n, w`` from co-rating sums; pairs with weight 0 or a constant side are left out.
 
     Means are those of the common ratings.  The sums of whole or half-star
-    ratings are exact, so the tests against zero are too; for arbitrary
-    real ratings give a ``tolerance`` relative to ``n * sum of squares``.
+    ratings are exact, so the tests against zero are too.  They cancel for
+    ratings far from zero or of many digits: use ``centred_pearson`` there.
     """
     n = F.col("n").cast("double")
     cov = n * F.col("sxy") - F.col("sx") * F.col("sy")
@@ -145,18 +213,47 @@ def pearson(sums: DataFrame, tolerance: float = 0.0) -> DataFrame:
     )
 
 
+def centred_pearson(moments: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
+    """``id1, id2, n, w`` from co-rating moments, for any real ratings.
+
+    Pairs whose weight is not above ``tolerance``, or with a constant side, are
+    left out.  Infinite and NaN ratings give none.
+    """
+    w = F.col("cxy") / (F.sqrt("cxx") * F.sqrt("cyy"))
+    real = moments.filter("cxx > 0 and cyy > 0 and cxx < double('infinity') and cyy < double('infinity')")
+    return real.select("id1", "id2", "n", w.alias("w")).filter(F.abs("w") > tolerance)
+
+
+def _weights(
+    rows: Callable[[Statistic], DataFrame], tolerance: float, centred: bool
+) -> DataFrame:
+    return centred_pearson(rows(MOMENTS), max(tolerance, TOLERANCE)) if centred else pearson(rows(SUMS), tolerance)
+
+
 def user_pearson(
-    ratings: DataFrame, min_support: int = MIN_SUPPORT, limit: int = GROUP_LIMIT, tolerance: float = 0.0
+    ratings: DataFrame,
+    min_support: int = MIN_SUPPORT,
+    limit: int = GROUP_LIMIT,
+    tolerance: float = 0.0,
+    centred: bool = False,
 ) -> DataFrame:
-    """Weights of all user pairs."""
-    return pearson(co_rating_sums(ratings, "user", "item", min_support, limit), tolerance)
+    """Weights of all user pairs; ``centred`` for ratings that are not whole or half numbers."""
+    return _weights(
+        lambda kept: co_rating_sums(ratings, "user", "item", min_support, limit, kept), tolerance, centred
+    )
 
 
 def item_pearson(
-    ratings: DataFrame, min_support: int = MIN_SUPPORT, limit: int = GROUP_LIMIT, tolerance: float = 0.0
+    ratings: DataFrame,
+    min_support: int = MIN_SUPPORT,
+    limit: int = GROUP_LIMIT,
+    tolerance: float = 0.0,
+    centred: bool = False,
 ) -> DataFrame:
-    """Weights of all item pairs."""
-    return pearson(co_rating_sums(ratings, "item", "user", min_support, limit), tolerance)
+    """Weights of all item pairs; ``centred`` for ratings that are not whole or half numbers."""
+    return _weights(
+        lambda kept: co_rating_sums(ratings, "item", "user", min_support, limit, kept), tolerance, centred
+    )
 
 
 def item_pearson_of(
@@ -165,6 +262,9 @@ def item_pearson_of(
     min_support: int = MIN_SUPPORT,
     limit: int = GROUP_LIMIT,
     tolerance: float = 0.0,
+    centred: bool = False,
 ) -> DataFrame:
-    """Weights of given item pairs, such as LSH candidates."""
-    return pearson(co_rating_sums_of(pairs, ratings, "item", "user", min_support, limit), tolerance)
+    """Weights of given item pairs, such as LSH candidates; ``centred`` as in ``item_pearson``."""
+    return _weights(
+        lambda kept: co_rating_sums_of(pairs, ratings, "item", "user", min_support, limit, kept), tolerance, centred
+    )

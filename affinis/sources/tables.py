@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinis.functions.text import word_shingles
+from affinis.functions.text import word_runs, word_shingles
 from affinis.operators.jaccard import distinct_members
 from affinis.operators.ratings import one_rating_per_pair
 from affinis.plans.staging import spread
@@ -70,3 +70,19 @@ def document_shingles(spark: SparkSession, folder: str) -> DataFrame:
     """``id`` = document, ``element`` = run of three words."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return word_shingles(spread(documents), "doc_id", "text")
+
+
+def document_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """``id`` = document, ``element`` = run of three words, as often as it occurs."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return word_runs(spread(documents), "doc_id", "text")
+
+
+def prices(spark: SparkSession, folder: str) -> DataFrame:
+    """``user, item, rating``: the highest price a customer paid to a supplier, a million above zero.
+
+    Real-valued ratings far from zero, whose sums of products cancel.
+    """
+    price = (F.col("l_extendedprice").cast("double") + 1e6).alias("rating")
+    rows = _ordered_lines(spark, folder).select(F.col("o_custkey").alias("user"), F.col("l_suppkey").alias("item"), price)
+    return one_rating_per_pair(rows)

@@ -115,6 +115,34 @@ ORACLE["lsh_buckets"] = (
     _with(SUPPLIER_CUSTOMERS, MINHASH)
     + "SELECT CAST(band AS BIGINT) AS band, sig, count(*) AS n FROM banded GROUP BY band, sig HAVING count(*) > 1"
 )
+ORACLE["lsh_bucket_sets"] = (
+    _with(
+        SUPPLIER_MARKETS,
+        MINHASH,
+        "shared AS (SELECT count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM banded GROUP BY band, sig)",
+    )
+    + "SELECT n, count(DISTINCT ids) AS sets FROM shared WHERE n > 1 GROUP BY n"
+)
+# One hash; bin i of 600 takes, where empty, the first filled one of (start + t * step) modulo the prime 601.
+BIN_PRIME = 601
+BINS = f"""draws AS (
+    SELECT i, 1 + ('0x' || substr(md5('{SEED + 1}a' || i), 1, 8))::BIGINT % {PRIME - 1} AS a,
+        ('0x' || substr(md5('{SEED + 1}b' || i), 1, 8))::BIGINT % {PRIME} AS b FROM range({NUM_HASHES}) AS r(i)),
+orders AS (SELECT i, t, (b % {BIN_PRIME} + t * (1 + a % {BIN_PRIME - 1})) % {BIN_PRIME} AS j
+    FROM draws, range({BIN_PRIME}) AS ts(t)),
+one AS (SELECT 1 + ('0x' || substr(md5('{SEED}a0'), 1, 8))::BIGINT % {PRIME - 1} AS a,
+    ('0x' || substr(md5('{SEED}b0'), 1, 8))::BIGINT % {PRIME} AS b,
+    1 + ('0x' || substr(md5('{SEED}c0'), 1, 8))::BIGINT % {PRIME - 1} AS c),
+hashed AS (SELECT id, ('0x' || substr(md5(CAST(element AS VARCHAR)), 1, 7))::BIGINT AS x,
+    ('0x' || substr(md5(CAST(element AS VARCHAR)), 8, 7))::BIGINT AS y FROM sets),
+filled AS (SELECT id, v % {NUM_HASHES} AS j, min(v * {HALF} + y) AS h
+    FROM (SELECT id, y, (a * x + c * y + b) % {PRIME} AS v FROM hashed, one) GROUP BY ALL),
+minima AS (SELECT id, i AS k, arg_min(h, CASE WHEN i = j THEN -1 ELSE t END) AS h FROM filled JOIN orders USING (j) GROUP BY id, i),
+banded AS (SELECT id, k // {ROWS_PER_BAND} AS band, string_agg(CAST(h AS VARCHAR), ',' ORDER BY k) AS sig
+    FROM minima GROUP BY id, k // {ROWS_PER_BAND})"""
+ORACLE["minhash_bin_signatures"] = (
+    _with(SUPPLIER_CUSTOMERS, BINS) + "SELECT id, CAST(k AS BIGINT) AS k, CAST(h AS BIGINT) AS h FROM minima"
+)
 ORACLE["lsh_candidates"] = _with(SUPPLIER_CUSTOMERS, MINHASH, CANDIDATES) + "SELECT id1, id2 FROM candidates"
 ORACLE["jaccard_verified"] = (
     _with(SUPPLIER_CUSTOMERS, MINHASH, CANDIDATES, OVERLAP)
@@ -124,10 +152,20 @@ _SIMILAR = (
     f"SELECT id1, id2, {_r('jaccard', 'jaccard')} FROM compared JOIN candidates USING (id1, id2) WHERE jaccard >= 0.5"
 )
 ORACLE["similar_items_jaccard"] = _with(SUPPLIER_MARKETS, MINHASH, CANDIDATES, OVERLAP) + _SIMILAR
+ORACLE["similar_items_bins"] = _with(SUPPLIER_MARKETS, BINS, CANDIDATES, OVERLAP) + _SIMILAR
 ORACLE["similar_documents_jaccard"] = _with(SHINGLES, MINHASH, CANDIDATES, OVERLAP) + _SIMILAR
 _EXACT = f"SELECT id1, id2, inter, uni, {_r('jaccard', 'jaccard')} FROM compared WHERE jaccard >= 0.5"
 ORACLE["exact_jaccard_pairs"] = _with(SUPPLIER_MARKETS, OVERLAP) + _EXACT
 ORACLE["exact_document_pairs"] = _with(SHINGLES, OVERLAP) + _EXACT
+BAGS = SHINGLES.replace("SELECT DISTINCT id, w[i]", "SELECT id, w[i]").replace("sets AS", "runs AS") + """,
+bags AS (SELECT id, element, count(*) AS c FROM runs GROUP BY ALL),
+totals AS (SELECT id, sum(c) AS n FROM bags GROUP BY id),
+met AS (SELECT a.id AS id1, b.id AS id2, CAST(sum(least(a.c, b.c)) AS BIGINT) AS inter
+    FROM bags a JOIN bags b ON a.element = b.element AND a.id < b.id GROUP BY a.id, b.id),
+compared AS (SELECT id1, id2, inter, CAST(x.n + y.n - inter AS BIGINT) AS uni,
+    CAST(inter AS DOUBLE) / CAST(x.n + y.n - inter AS DOUBLE) AS jaccard
+    FROM met JOIN totals x ON x.id = id1 JOIN totals y ON y.id = id2)"""
+ORACLE["exact_bag_pairs"] = _with(BAGS) + _EXACT
 ORACLE["lsh_quality"] = (
     _with(
         SUPPLIER_MARKETS,
@@ -144,6 +182,10 @@ ORACLE["lsh_quality"] = (
     {_r("CAST(true_positives AS DOUBLE) / nullif(truth, 0)", "recall")} FROM counts"""
 )
 
+ORACLE["lsh_candidate_quality"] = ORACLE["lsh_quality"].replace(
+    "found AS (SELECT id1, id2 FROM truth JOIN candidates USING (id1, id2))", "found AS (SELECT * FROM candidates)"
+)
+
 # Neighbour weights
 
 
@@ -169,6 +211,19 @@ ORACLE["user_pearson"] = _with(TRAIN, USER_WEIGHTS) + _WEIGHTS
 ORACLE["item_pearson"] = _with(TRAIN, ITEM_WEIGHTS) + _WEIGHTS
 ORACLE["item_pearson_lsh"] = _with(LSH_WEIGHTS) + _WEIGHTS
 
+PRICES = """rated AS (SELECT o_custkey AS "user", l_suppkey AS item, max(CAST(l_extendedprice AS DOUBLE) + 1e6) AS rating
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
+common AS (SELECT a.item AS id1, b.item AS id2, a.rating AS x, b.rating AS y FROM rated a JOIN rated b
+    ON a."user" = b."user" AND a.item < b.item),
+means AS (SELECT id1, id2, count(*) AS n, avg(x) AS mx, avg(y) AS my FROM common GROUP BY ALL HAVING count(*) >= 2),
+sums AS (SELECT id1, id2, any_value(n) AS n, sum((x - mx) * (y - my)) AS cxy, sum((x - mx) * (x - mx)) AS cxx,
+    sum((y - my) * (y - my)) AS cyy FROM common JOIN means USING (id1, id2) GROUP BY id1, id2)"""
+ORACLE["item_pearson_centred"] = (
+    _with(PRICES)
+    + f"SELECT id1, id2, n, {_r('cxy / (sqrt(cxx) * sqrt(cyy))', 'w')} FROM sums WHERE cxx > 0 AND cyy > 0"
+    + " AND abs(cxy / (sqrt(cxx) * sqrt(cyy))) > 1e-12"
+)
+
 # Predictions
 
 

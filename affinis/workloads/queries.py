@@ -144,6 +144,27 @@ def lsh_candidates(spark, folder):
     return comparable(minhash.lsh_candidates(_supplier_signatures(spark, folder)))
 
 
+@query
+def lsh_bucket_sets(spark, folder):
+    """How many different sets of each size share a bucket; each is paired once."""
+    banded = stage(minhash.bands(minhash.signatures(tables.markets_of_suppliers(spark, folder))))
+    return comparable(minhash.distinct_buckets(banded).groupBy("n").agg(F.count("*").alias("sets")))
+
+
+@query
+def minhash_bin_signatures(spark, folder):
+    """One hash and a bin for each value, empty bins filled from others."""
+    sets = tables.customers_of_suppliers(spark, folder)
+    return comparable(minhash.signature_rows(minhash.signatures(sets, method=minhash.BINS)))
+
+
+@query
+def similar_items_bins(spark, folder):
+    sets = stage(tables.markets_of_suppliers(spark, folder))
+    found = jaccard.similar_sets(sets, method=minhash.BINS)
+    return comparable(found.select("id1", "id2", "jaccard"))
+
+
 @query
 def jaccard_verified(spark, folder):
     sets = stage(tables.customers_of_suppliers(spark, folder))
@@ -175,12 +196,26 @@ def exact_document_pairs(spark, folder):
     return comparable(jaccard.exact_jaccard_pairs(sets))
 
 
+@query
+def exact_bag_pairs(spark, folder):
+    """Documents as bags of shingles: repeats count."""
+    return comparable(jaccard.exact_bag_pairs(tables.document_runs(spark, folder)))
+
+
 @query
 def lsh_quality(spark, folder):
     sets = stage(tables.markets_of_suppliers(spark, folder))
     return comparable(jaccard.join_quality(jaccard.similar_sets(sets), jaccard.exact_jaccard_pairs(sets)))
 
 
+@query
+def lsh_candidate_quality(spark, folder):
+    """Of the candidates, the share that reaches the threshold; of the pairs that do, the share among them."""
+    sets = stage(tables.markets_of_suppliers(spark, folder))
+    candidates = stage(minhash.lsh_candidates(minhash.signatures(sets)))
+    return comparable(jaccard.join_quality(candidates, jaccard.exact_jaccard_pairs(sets)))
+
+
 # Neighbour weights
 
 
@@ -202,6 +237,12 @@ def item_pearson(spark, folder):
     return comparable(neighbours.item_pearson(train))
 
 
+@query
+def item_pearson_centred(spark, folder):
+    """Weights of suppliers by prices, whose sums of products would cancel."""
+    return comparable(neighbours.item_pearson(stage(tables.prices(spark, folder)), centred=True))
+
+
 def _lsh_weights(train: DataFrame) -> DataFrame:
     candidates = stage(minhash.lsh_candidates(minhash.signatures(_sets(train))))
     return neighbours.item_pearson_of(candidates, train)
