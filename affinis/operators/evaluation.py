@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # Fixed buckets of the absolute error.
@@ -59,3 +59,36 @@ def rating_error_report(predictions: dict[str, DataFrame], truth: DataFrame) ->
     every = reduce(DataFrame.unionByName, tagged)
     summary = errors(every, truth).groupBy("method").agg(*_error_summary(), *_bucket_counts())
     return summary.drop("mse")
+
+
+def write_with_report(predictions: dict[str, DataFrame], truth: DataFrame, path: str) -> DataFrame:
+    """Write the predictions that have a true rating and report their errors from the same pass.
+
+    The table has ``method, user, item, prediction, rating, error``; the report is that of
+    ``rating_error_report``.  Its metrics are observed while the rows are written,
+    so nothing is computed or read again; one record comes to the driver.
+    """
+    methods = list(predictions)
+    tagged = [predictions[m].select(F.lit(m).alias("method"), "user", "item", "prediction") for m in methods]
+    rows = errors(reduce(DataFrame.unionByName, tagged), truth)
+    size = F.round(F.abs("error"), ERROR_DIGITS)
+    # The six edges as one number of the bucket, null without an error.
+    bucket = F.when(size < 1, 0).when(size < 2, 1).when(size < 3, 2).when(size < 4, 3).when(size <= 5, 4).when(size > 5, 5)
+    metrics = []
+    for i, method in enumerate(methods):
+        own = F.col("method") == method
+        metrics.append(F.count(F.when(own, F.col("error"))).alias(f"n_{i}"))
+        metrics.append(F.avg(F.when(own, F.col("error") * F.col("error"))).alias(f"mse_{i}"))
+        metrics.append(F.count_if(own).alias(f"rows_{i}"))
+        metrics += [F.count_if(own & F.coalesce(bucket == b, F.lit(False))).alias(f"b{b}_{i}") for b in range(len(BUCKETS))]
+    seen = Observation()
+    rows.observe(seen, *metrics).write.parquet(path)
+    found = seen.get
+    report = [
+        (m, found[f"n_{i}"], None if found[f"mse_{i}"] is None else found[f"mse_{i}"] ** 0.5)
+        + tuple(found[f"b{b}_{i}"] for b in range(len(BUCKETS)))
+        for i, m in enumerate(methods)
+        if found[f"rows_{i}"]
+    ]
+    counts = ", ".join(f"b{b} BIGINT" for b in range(len(BUCKETS)))
+    return truth.sparkSession.createDataFrame(report, f"method STRING, n BIGINT, rmse DOUBLE, {counts}")

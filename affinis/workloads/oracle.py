@@ -70,6 +70,19 @@ for _entity, _other in (("user", "item"), ("item", "user")):
         + " FROM members GROUP BY id, part, n"
     )
 
+ORACLE["ratings_apart"] = (
+    _with(RATINGS)
+    + """SELECT CASE WHEN item % 50 IN (0, 2) THEN 'fields' WHEN item % 50 = 1 THEN 'empty' ELSE 'good' END AS kind,
+    CASE item % 50 WHEN 0 THEN concat_ws(',', "user", item) WHEN 1 THEN concat_ws(',', '', item, rating)
+        WHEN 2 THEN concat_ws(',', "user", 'item', rating, 0) ELSE concat_ws(',', "user", item) END AS value
+    FROM ratings"""
+)
+ORACLE["ratings_apart_counts"] = (
+    _with(RATINGS)
+    + "SELECT count(*) AS lines, count(*) FILTER (WHERE item % 50 <> 0) AS good,"
+    + " count(*) FILTER (WHERE item % 50 = 0) AS bad FROM ratings"
+)
+
 # Set similarity
 
 ORACLE["known_pairs"] = """SELECT DISTINCT least(o_custkey, l_suppkey) AS id1, greatest(o_custkey, l_suppkey) AS id2
@@ -272,6 +285,7 @@ ORACLE["predict_item_mean"] = _with(TRAIN, ITEM_MEAN) + _show("item_mean")
 ORACLE["write_sorted"] = (
     _with(TRAIN, ITEM_MEAN) + f'SELECT "user", item, {_r("prediction", "prediction")} FROM item_mean'
 )
+ORACLE["write_addressable"] = ORACLE["write_sorted"]
 
 # Matrix factorisation: what holds for any factors
 
@@ -352,3 +366,14 @@ ORACLE["rating_error_report"] = (
     + ", ".join(f"count(*) FILTER (WHERE {bucket}) AS b{i}" for i, bucket in enumerate(BUCKETS))
     + " FROM errors GROUP BY method"
 )
+_OBSERVED = ["item_based", "item_mean"]
+ORACLE["observed_error_report"] = (
+    _with(
+        *_ITEM_BASED,
+        ITEM_MEAN,
+        "errors AS (" + " UNION ALL ".join(_errors(m) for m in _OBSERVED) + ")",
+    )
+    + f"SELECT method, count(*) AS n, {_r('sqrt(avg(d * d))', 'rmse')}, "
+    + ", ".join(f"count(*) FILTER (WHERE {bucket}) AS b{i}" for i, bucket in enumerate(BUCKETS))
+    + " FROM errors GROUP BY method"
+)

@@ -17,7 +17,7 @@ from affinis.operators import evaluation, factorization, jaccard, minhash, neigh
 from affinis.operators import ratings as rating_ops
 from affinis.plans import stage
 from affinis.plans.staging import shared_folder
-from affinis.sources import csv, tables
+from affinis.sources import addressable, csv, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -87,6 +87,28 @@ def ratings_without_header_lines(spark, folder):
     return comparable(csv.read_ratings(spark, path, extra_columns=1, skip_lines_with="userID"))
 
 
+@query
+def ratings_apart(spark, folder):
+    """Ratings from lines of which some are bad: good rows and bad lines, each with its reason."""
+    path = f"{shared_folder(spark)}/ratings-{uuid.uuid4().hex}"
+    whole = F.concat_ws(",", "user", "item", "rating", F.lit("0"))
+    line = F.when(F.col("item") % 50 == 0, F.concat_ws(",", "user", "item"))
+    line = line.when(F.col("item") % 50 == 1, F.concat_ws(",", F.lit(""), "item", "rating", F.lit("0")))
+    line = line.when(F.col("item") % 50 == 2, F.concat_ws(",", "user", F.lit("item"), "rating", F.lit("0")))
+    tables.ratings(spark, folder).select(line.otherwise(whole)).write.text(path)
+    found = csv.read_ratings_apart(spark, path, extra_columns=1, header=False)
+    good = found.good.select(F.lit("good").alias("kind"), F.concat_ws(",", "user", "item").alias("value"))
+    return good.unionAll(found.bad.select("reason", "value"))
+
+
+@query
+def ratings_apart_counts(spark, folder):
+    path = f"{shared_folder(spark)}/ratings-{uuid.uuid4().hex}"
+    line = F.when(F.col("item") % 50 == 0, F.concat_ws(",", "user", "item"))
+    tables.ratings(spark, folder).select(line.otherwise(F.concat_ws(",", "user", "item", "rating"))).write.text(path)
+    return spark.createDataFrame([csv.read_ratings_apart(spark, path, header=False).counts])
+
+
 @query
 def known_pairs(spark, folder):
     """Customers and the suppliers they ordered from, as pairs of numbers in a file."""
@@ -302,6 +324,18 @@ def write_sorted(spark, folder):
     return comparable(spark.read.schema("user BIGINT, item BIGINT, prediction DOUBLE").csv(path))
 
 
+@query
+def write_addressable(spark, folder):
+    """Predictions in one sorted output, read back range by range."""
+    train, test = _split(spark, folder)
+    path = f"{shared_folder(spark)}/predictions-{uuid.uuid4().hex}"
+    predictions = predict.predict_mean(train, test, "item").select("user", "item", "prediction")
+    addressable.write_addressable(predictions, path, ["user", "item"])
+    low, middle, high = ((), (400, 1000)), ((400, 1001), (900,)), ((901,), ())
+    parts = [addressable.read_range(spark, path, *bounds) for bounds in (low, middle, high)]
+    return comparable(parts[0].unionAll(parts[1]).unionAll(parts[2]))
+
+
 # Matrix factorisation and corrections of predictions
 
 
@@ -403,3 +437,12 @@ def rating_error_report(spark, folder):
         "user_mean": predict.predict_mean(train, test, "user"),
     }
     return comparable(evaluation.rating_error_report(methods, test))
+
+
+@query
+def observed_error_report(spark, folder):
+    """The report of two methods, from the pass that writes their predictions."""
+    train, test = _split(spark, folder)
+    methods = {"item_based": _item_based(train, test), "item_mean": predict.predict_mean(train, test, "item")}
+    path = f"{shared_folder(spark)}/predictions-{uuid.uuid4().hex}"
+    return comparable(evaluation.write_with_report(methods, test, path))

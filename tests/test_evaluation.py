@@ -89,3 +89,17 @@ def test_als_is_repeatable_and_learns(ratings):
     assert (min(scaled), max(scaled)) == pytest.approx((1.0, 5.0))
     als = E.rating_rmse(scored, targets).first().rmse
     assert als < E.rating_rmse(predict_mean(train, targets, "item"), targets).first().rmse
+
+
+def test_report_from_the_pass_that_writes(spark, ratings, tmp_path):
+    truth = ratings([(1, 1, 3.0), (1, 2, 5.0), (2, 1, 1.0), (3, 3, 2.0)])
+    schema = "user BIGINT, item BIGINT, prediction DOUBLE"
+    one = spark.createDataFrame([(1, 1, 3.5), (1, 2, 0.0), (2, 1, 1.0), (9, 9, 1.0), (3, 3, float("nan"))], schema)
+    two = spark.createDataFrame([(1, 1, None), (3, 3, 9.5)], schema)
+    none = one.limit(0)
+    methods = {"one": one, "two": two, "none": none}
+    path = str(tmp_path / "out")
+    report = E.write_with_report(methods, truth, path)
+    columns = ["method", "n", "rmse", *[f"b{i}" for i in range(6)]]
+    assert tuples(report, *columns) == tuples(E.rating_error_report(methods, truth), *columns)
+    assert spark.read.parquet(path).count() == 6

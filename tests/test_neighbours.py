@@ -174,3 +174,52 @@ def test_same_result_under_any_partitioning(ratings):
     df = ratings(random_ratings(2))
     one = tuples(user_pearson(df.coalesce(1)), "id1", "id2", "n", "w")
     assert one == tuples(user_pearson(df.repartition(7)), "id1", "id2", "n", "w")
+
+
+def centred_weights(rows):
+    """Two-pass Pearson weights of users by exact fractions."""
+    from fractions import Fraction
+
+    by_user = {}
+    for u, i, r in rows:
+        by_user.setdefault(u, {})[i] = Fraction(r)
+    expected = {}
+    for a in by_user:
+        for b in by_user:
+            both = sorted(by_user[a].keys() & by_user[b].keys())
+            if a >= b or len(both) < 2:
+                continue
+            x, y = ([by_user[u][i] for i in both] for u in (a, b))
+            mx, my = sum(x) / len(x), sum(y) / len(y)
+            cxy = sum((p - mx) * (q - my) for p, q in zip(x, y))
+            cxx, cyy = sum((p - mx) ** 2 for p in x), sum((q - my) ** 2 for q in y)
+            if cxx and cyy and cxy:
+                expected[a, b] = (len(both), float(cxy) / (float(cxx) ** 0.5 * float(cyy) ** 0.5))
+    return expected
+
+
+@pytest.mark.parametrize("limit", [1, 20, 10_000])
+def test_centred_weights_of_ratings_far_from_zero(ratings, limit):
+    rng = random.Random(3)
+    rows = [(u, i, 1e7 + rng.random()) for u, i, _ in random_ratings(5)]
+    expected = centred_weights(rows)
+    found = as_weights(user_pearson(ratings(rows), limit=limit, centred=True))
+    assert found.keys() == expected.keys()
+    assert all(found[k][0] == n and found[k][1] == pytest.approx(w, abs=1e-5) for k, (n, w) in expected.items())
+    sums = as_weights(user_pearson(ratings(rows), limit=limit))
+    assert any(k not in sums or abs(sums[k][1] - w) > 0.1 for k, (_, w) in expected.items())
+
+
+def test_centred_weights_of_whole_ratings_are_those_of_the_sums(ratings):
+    df = ratings(random_ratings(11))
+    assert_same(as_weights(item_pearson(df, centred=True)), as_weights(item_pearson(df)))
+    pairs = item_pearson(df).select("id1", "id2")
+    assert_same(as_weights(item_pearson_of(pairs, df, centred=True)), as_weights(item_pearson_of(pairs, df)))
+
+
+def test_centred_weights_of_odd_ratings(ratings):
+    rows = [(1, 0, 0.1), (1, 1, 0.1), (1, 2, 0.1), (2, 0, 1.0), (2, 1, 5.0), (2, 2, 7.0)]
+    assert user_pearson(ratings(rows), centred=True).count() == 0
+    rows += [(3, 0, float("inf")), (3, 1, 1.0), (4, 0, float("nan")), (4, 1, 2.0), (5, 0, None), (5, 1, 1.0)]
+    assert user_pearson(ratings(rows), centred=True).count() == 0
+    assert user_pearson(ratings([]), centred=True).count() == 0

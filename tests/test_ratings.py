@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from affinis.operators.ratings import element_sets, mean_rating, one_rating_per_pair, train_minus_test
-from affinis.sources import read_pairs, read_ratings, write_sorted
+from affinis.sources import addressable as A
+from affinis.sources import read_pairs, read_ratings, read_ratings_apart, write_sorted
 
 from .conftest import tuples
 
@@ -106,3 +108,72 @@ def test_sorted_files_are_one_sequence(spark, ratings, tmp_path):
     keys = [tuple(map(int, line.split(",")[:2])) for line in lines]
     assert len(lines) == 500 and keys == sorted(keys)
     assert len(list(out.glob("part-*"))) > 1
+
+
+def test_bad_lines_are_kept_apart(spark, tmp_path):
+    lines = ["1,2,3.5", "1,2", "", ",5,1.0", "4,5,x", "7,8,2.0,9", "9,9,1.0"]
+    (tmp_path / "a.csv").write_text("user,item,rating\n" + "\n".join(lines) + "\n")
+    (tmp_path / "b.csv").write_text("user,item,rating\n6,6,\n")
+    found = read_ratings_apart(spark, str(tmp_path))
+    assert tuples(found.good, "user", "item", "rating") == [(1, 2, 3.5), (9, 9, 1.0)]
+    bad = sorted((r.file[-5:], r.line, r.reason, r.value) for r in found.bad.collect())
+    assert bad == [
+        ("a.csv", 2, "fields", "1,2"),
+        ("a.csv", 3, "empty", ",5,1.0"),
+        ("a.csv", 4, "fields", "4,5,x"),
+        ("a.csv", 5, "fields", "7,8,2.0,9"),
+        ("b.csv", 1, "empty", "6,6,"),
+    ]
+    assert found.counts == {"lines": 7, "good": 2, "bad": 5}
+
+
+def test_places_of_bad_lines_in_a_file_of_several_blocks(spark, tmp_path):
+    lines = ["bad" if i % 97 == 5 else f"{i},{i},1.0" for i in range(5000)]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        found = read_ratings_apart(spark, str(tmp_path / "a.csv"), header=False)
+        assert sorted(r.line for r in found.bad.collect()) == [i + 1 for i in range(5000) if i % 97 == 5]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "none.csv").write_text("")
+    assert read_ratings_apart(spark, str(tmp_path / "none.csv")).counts == {"lines": 0, "good": 0, "bad": 0}
+
+
+def test_a_range_of_keys_is_read_from_its_files_only(spark, ratings, tmp_path):
+    rows = [((i * 37) % 101, (i * 11) % 7, float(i)) for i in range(500)] + [(None, 1, 0.5)]
+    out = str(tmp_path / "out")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    A.write_addressable(ratings(rows), out, ["user", "item"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    manifest = A.read_manifest(spark, out)
+    assert sum(f["rows"] for f in manifest["files"]) == 501 and len(manifest["files"]) > 1
+    whole = b"".join((tmp_path / "out" / f["file"]).read_bytes() for f in manifest["files"])
+    for f in manifest["files"]:
+        part = (tmp_path / "out" / f["file"]).read_bytes()
+        assert whole[f["offset"] : f["offset"] + f["bytes"]] == part
+    order = [tuple(-1 if v == "" else int(v) for v in line.split(",")[:2]) for line in whole.decode().splitlines()]
+    assert order == sorted(order)
+    low, high = (20, 3), (25,)
+    files = A.files_of_range(manifest, low, high)
+    assert 0 < len(files) < len(manifest["files"])
+    for f in manifest["files"]:
+        if f["file"] not in files:
+            (tmp_path / "out" / f["file"]).write_text("read,me,not\n")
+    got = sorted(tuple(r) for r in A.read_range(spark, out, low, high).collect())
+    assert got == sorted(r for r in rows if r[0] is not None and (20, 3) <= r[:2] and r[0] <= 25)
+    assert A.read_range(spark, out, (200,)).count() == 0
+    with pytest.raises(FileExistsError):
+        A.write_addressable(ratings(rows), out, ["user", "item"])
+    with pytest.raises(ValueError):
+        A.write_addressable(ratings(rows), str(tmp_path / "other"), [])
+
+
+def test_a_failed_attempt_leaves_no_manifest(spark, ratings, tmp_path):
+    rows = ratings([(i, i, float(i)) for i in range(40)])
+    broken = rows.withColumn("item", F.expr("if(user = 33, raise_error('stop'), item)").cast("bigint"))
+    with pytest.raises(Exception):
+        A.write_addressable(broken, str(tmp_path / "out"), ["user", "item"])
+    assert not (tmp_path / "out" / A.MANIFEST).exists()
+    A.write_addressable(rows.limit(0), str(tmp_path / "none"), ["user"])
+    assert A.read_range(spark, str(tmp_path / "none")).count() == 0
