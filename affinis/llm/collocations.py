@@ -5,9 +5,9 @@ padded where the piece ends.  Only these windows are counted; ROLLUP sums their
 over ever shorter prefixes, which gives the count of every phrase, because each
 occurrence of a phrase is the prefix of exactly one window.
 
-Before that, two passes find the words and the word pairs that are frequent enough to be
-part of a frequent phrase at all; a window ends before the first pair that is not.  What
-these passes know of pairs are hashes in a table of bits of bounded size.  Hashes that
+Before that, passes find the words, pairs and longer runs of words that are frequent
+enough to be part of a frequent phrase at all; a window ends before the first that is
+not.  What these passes know are hashes in tables of bits of bounded size.  Hashes that
 are equal can only keep a window longer than needed: counts are made of the words.
 """
 
@@ -33,6 +33,11 @@ GROUP_BYTES = 8 << 20
 # Bits of the largest table of hashes (32 MB); one page of Spark's bitmaps has 32,768 bits.
 TABLE_BITS = 28
 PAGE_BITS = 15
+# Bits of the hashes of runs, and different runs that a task counts before it hands them on.
+HASH_BITS = 40
+COUNTED = 2_000_000
+# Runs of up to so many words are looked for before windows are made.
+KNOWN = 5
 
 BREAK = byte_class([(0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?")])
 WORD = ~(BREAK | byte_class([(0x09, 0x09), (0x20, 0x20)]))
@@ -73,10 +78,31 @@ def tokens(text: pa.Array, lang: pa.Array) -> Tokens:
     return Tokens(coded.dictionary, codes, langs.dictionary, language, hashes, followed)
 
 
-def pair_hashes(t: Tokens) -> np.ndarray:
-    """Hash of each word with the next one; that of the last word is not to be used."""
-    after = np.roll(t.hashes, -1)
-    return mix(t.hashes * np.uint64(0x9E3779B97F4A7C15) + after)
+def run_hashes(t: Tokens, width: int) -> np.ndarray:
+    """Hash of each word with the ``width - 1`` after it; not to be used where the text ends before that."""
+    found = t.hashes
+    for k in range(1, width):
+        found = mix(found * np.uint64(0x9E3779B97F4A7C15) + np.roll(t.hashes, -k))
+    return found
+
+
+def _together(goes_on: np.ndarray, steps: int) -> np.ndarray:
+    """Where ``goes_on`` holds for ``steps`` places in a row."""
+    found = goes_on.copy()
+    for k in range(1, steps):
+        found[: found.size - k] &= goes_on[k:]
+        found[max(0, found.size - k) :] = False
+    return found
+
+
+def _token_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
+    """Tokens of groups of texts, from batches of text and lang."""
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(0))
+        for a, b in row_groups(offsets, GROUP_BYTES):
+            t = tokens(batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a))
+            if t.codes.size:
+                yield t
 
 
 def _each_group(docs: DataFrame, make: Callable[[], Callable[[Tokens], dict[str, object]]], schema: str) -> DataFrame:
@@ -84,12 +110,8 @@ def _each_group(docs: DataFrame, make: Callable[[], Callable[[Tokens], dict[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = make()
-        for batch in batches:
-            _, offsets = text_bytes(batch.column(0))
-            for a, b in row_groups(offsets, GROUP_BYTES):
-                t = tokens(batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a))
-                if t.codes.size:
-                    yield pa.RecordBatch.from_pydict(apply(t))
+        for t in _token_groups(batches):
+            yield pa.RecordBatch.from_pydict(apply(t))
 
     return docs.mapInArrow(run, schema)
 
@@ -120,17 +142,17 @@ class BitTable(NamedTuple):
     table: np.ndarray
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+        at = (hashes >> np.uint64(64 - self.bits)).view(np.int64)
         return (self.table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
 def bit_table(hashes: DataFrame, count: int, most: int = TABLE_BITS) -> BitTable:
-    """Table of the ``count`` values of BIGINT column ``h``: about 16 bits for each, 2 ** ``most`` at most.
+    """Table of the ``count`` values of column ``h``, of ``HASH_BITS`` bits: about 16 bits for each, 2 ** ``most`` at most.
 
     Spark fills the pages; the driver only puts them side by side.
     """
     bits = min(most, max(PAGE_BITS, (16 * max(1, count)).bit_length()))
-    at = F.shiftrightunsigned("h", 64 - bits)
+    at = F.shiftright("h", HASH_BITS - bits)
     pages = hashes.groupBy(F.shiftright(at, PAGE_BITS).alias("page")).agg(
         F.bitmap_construct_agg(F.pmod(at, F.lit(1 << PAGE_BITS))).alias("bitmap")
     )
@@ -156,63 +178,101 @@ def _hashed(words: DataFrame) -> DataFrame:
         for batch in batches:
             found = find_words(*text_bytes(batch.column(1)), np.ones(256, bool), lower=False)
             h = mix(found.hashes ^ _salts(batch.column(0)))
-            yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64))})
+            yield pa.RecordBatch.from_pydict({"h": pa.array((h >> np.uint64(64 - HASH_BITS)).view(np.int64))})
 
     return words.select("lang", "word").mapInArrow(run, "h BIGINT")
 
 
-def frequent_pairs(docs: DataFrame, words: BitTable, least: int) -> DataFrame:
-    """Hashes ``h`` of all pairs of neighbouring words that occur ``least`` times or more (and of few others)."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+def _possible(t: Tokens, known: list[BitTable]) -> np.ndarray:
+    """Where a run of ``len(known) + 1`` words starts of which all shorter runs may be frequent.
 
-    def make():
-        known = shared.value
+    ``known`` has the tables of frequent words, pairs and so on.
+    """
+    width = len(known) + 1
+    possible = _together(t.followed, width - 1)
+    for k, table in enumerate(known):
+        at = np.flatnonzero(possible)
+        for i in range(width - k):
+            hashes = run_hashes(t, k + 1) if i == 0 else hashes
+            at = at[table.has(hashes[at + i])]
+        possible = np.zeros(possible.size, bool)
+        possible[at] = True
+    return possible
+
+
+def frequent_runs(docs: DataFrame, known: list[BitTable], least: int) -> DataFrame:
+    """Hashes ``h`` of all runs of ``len(known) + 1`` words that occur ``least`` times or more (and of few others).
+
+    Runs are counted in the tasks before the shuffle, ``COUNTED`` different ones at a time.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(known)
 
-        def apply(t: Tokens) -> dict[str, object]:
-            frequent = known.has(t.hashes)
-            both = t.followed & frequent & np.roll(frequent, -1)
-            h, n = np.unique(pair_hashes(t)[both], return_counts=True)
-            return {"h": pa.array(h.view(np.int64)), "n": pa.array(n, pa.int64())}
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        h, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        return h, np.bincount(where, np.concatenate([p[1] for p in parts]), h.size).astype(np.int64)
 
-        return apply
+    def rows(h: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a in range(0, h.size, COUNTED // 8):
+            part = slice(a, a + COUNTED // 8)
+            yield pa.RecordBatch.from_pydict({"h": pa.array(h[part].view(np.int64)), "n": pa.array(n[part])})
 
-    counted = _each_group(docs, make, "h BIGINT, n BIGINT").groupBy("h").agg(F.sum("n").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        for t in _token_groups(batches):
+            found = run_hashes(t, len(shared.value) + 1)[_possible(t, shared.value)]
+            parts.append(np.unique(found >> np.uint64(64 - HASH_BITS), return_counts=True))
+            if sum(p[0].size for p in parts) > COUNTED:
+                parts = [merged(parts)]
+                if parts[0][0].size > COUNTED // 2:
+                    yield from rows(*parts.pop())
+        if parts:
+            yield from rows(*merged(parts))
+
+    counted = docs.mapInArrow(run, "h BIGINT, n BIGINT").groupBy("h").agg(F.sum("n").alias("n"))
     return counted.filter(F.col("n") >= least).select("h")
 
 
-def windows(docs: DataFrame, pairs: BitTable, longest: int) -> DataFrame:
+def windows(docs: DataFrame, known: list[BitTable], longest: int) -> DataFrame:
     """``lang, w1 ... , n``: how often each window of two words or more starts a position; shorter ones end in nulls.
 
-    A window ends with its piece, after ``longest`` words or before the first pair
-    that is not in ``pairs``.
+    A window ends with its piece, after ``longest`` words or before the word that
+    ends a run which is not in its table of ``known``.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(pairs)
+    shared = docs.sparkSession.sparkContext.broadcast(known)
     columns = [f"w{k + 1}" for k in range(longest)]
 
-    def make():
-        known = shared.value
-
-        def apply(t: Tokens) -> dict[str, object]:
-            goes_on = t.followed.copy()
-            at = np.flatnonzero(goes_on)
-            goes_on[at] = known.has(pair_hashes(t)[at])
-            at = np.flatnonzero(goes_on)
-            lead, inside = {"lang": t.language[at], "w1": t.codes[at]}, np.ones(at.size, bool)
-            for k in range(1, longest):
-                # A window that reaches word k - 1 goes on where that word and the next are a known pair.
-                inside &= goes_on[np.minimum(at + k - 1, goes_on.size - 1)]
-                lead[columns[k]] = np.where(inside, t.codes[np.minimum(at + k, goes_on.size - 1)], -1)
-            table = pa.table(lead).group_by(list(lead), use_threads=False).aggregate([([], "count_all")])
-            table = table.combine_chunks()
-            made = {name: table.column(name).to_numpy() for name in lead}
-            out = {"lang": _text(t.languages, made["lang"])}
-            out |= {name: _text(t.words, made[name].clip(0), made[name] < 0) for name in columns}
-            return out | {"n": pa.array(table.column("count_all").to_numpy(), pa.int64())}
+    def lead_windows(t: Tokens, known: list[BitTable]) -> pa.Table:
+        # Where runs of two words, three and so on may be frequent; the last holds for longer ones step by step.
+        runs = [_possible(t, known[:k]) & known[k].has(run_hashes(t, k + 1)) for k in range(1, len(known))]
+        at = np.flatnonzero(runs[0])
+        lead, inside = {"lang": t.language[at], "w1": t.codes[at]}, np.ones(at.size, bool)
+        for k in range(1, longest):
+            width = min(k, len(runs))
+            inside &= runs[width - 1][np.minimum(at + k - width, t.codes.size - 1)]
+            lead[columns[k]] = np.where(inside, t.codes[np.minimum(at + k, t.codes.size - 1)], -1)
+        table = pa.table(lead).group_by(list(lead), use_threads=False).aggregate([([], "count_all")])
+        made = {name: table.column(name).to_numpy() for name in lead}
+        out = {"lang": _text(t.languages, made["lang"])}
+        out |= {name: _text(t.words, made[name].clip(0), made[name] < 0) for name in columns}
+        return pa.table(out | {"n": table.column("count_all").cast(pa.int64())})
+
+    def merged(parts: list[pa.Table]) -> pa.Table:
+        whole = pa.concat_tables(parts).group_by(["lang", *columns], use_threads=False)
+        return whole.aggregate([("n", "sum")]).rename_columns(["lang", *columns, "n"])
 
-        return apply
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.Table] = []
+        for t in _token_groups(batches):
+            parts.append(lead_windows(t, shared.value))
+            if sum(p.num_rows for p in parts) > COUNTED // 8:
+                parts = [merged(parts)]
+                if parts[0].num_rows > COUNTED // 16:
+                    yield from parts.pop().to_batches(COUNTED // 32)
+        if parts:
+            yield from merged(parts).to_batches(COUNTED // 32)
 
     schema = "lang STRING, " + ", ".join(f"{name} STRING" for name in columns) + ", n BIGINT"
-    counted = _each_group(docs, make, schema)
+    counted = docs.mapInArrow(run, schema)
     return counted.groupBy("lang", *columns).agg(F.sum("n").alias("n"))
 
 
@@ -315,8 +375,11 @@ def collocations(
     every = stage(word_counts(texts).groupBy("lang", word).agg(F.sum("f").alias("f")))
     totals = every.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = every.filter("word IS NOT NULL")
-    pairs = stage(frequent_pairs(texts, bit_table(_hashed(frequent), frequent.count()), least))
-    counted = windows(texts, bit_table(pairs, pairs.count()), longest)
+    known = [bit_table(_hashed(frequent), frequent.count())]
+    while len(known) < min(KNOWN, longest):
+        runs = stage(frequent_runs(texts, known, least))
+        known.append(bit_table(runs, runs.count()))
+    counted = windows(texts, known, longest)
     found = stage(phrase_counts(counted, longest, least).withColumn("phrase", _joined(F.col("words"))))
     parts = frequent.select("lang", F.col("word").alias("phrase"), "f").unionAll(found.select("lang", "phrase", "a"))
     scored = _scores(lookup_join(found, totals, ["lang"]), parts)
