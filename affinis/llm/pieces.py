@@ -29,7 +29,7 @@ from affinis.llm.text import add_columns, small_batches, text_bytes
 
 MODEL = "piece_bpe_32k.model"
 # Bytes of text whose equal parts are encoded once.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 
 _SPACE = 0x20
 _ESCAPED = "▁".encode()
