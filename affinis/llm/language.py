@@ -81,14 +81,25 @@ def _lattice(words: np.ndarray, pieces: Pieces):
             yield start, end, pieces.number(span_hashes(sums, base + start, base + end))
 
 
+def _byte_scale(probability: np.ndarray, size: int) -> float:
+    """What each byte of words of ``size`` bytes is multiplied by, so that no sum over them becomes 0 or infinite.
+
+    1 where the least probable piece for every byte is far from that; else
+    halfway (in logarithms) between that piece and 1.
+    """
+    least = probability[:-1].min(initial=1.0)
+    return 1.0 if least <= 0 or size * np.log(least) > -600 else float(least**-0.5)
+
+
 def forward(words: np.ndarray, model: Model) -> np.ndarray:
     """Log-probability of each word (rows of bytes, one length) in each language."""
     n, size = words.shape
     alpha = np.zeros((size + 1, n, len(model.languages)))
-    alpha[0] = 1
+    alpha[0], scale = 1, _byte_scale(model.probability, size)
     for start, end, piece in _lattice(words, model.pieces):
-        alpha[end] += alpha[start] * model.probability[piece]
-    return np.log(alpha[size])
+        arc = model.probability[piece]
+        alpha[end] += alpha[start] * (arc if scale == 1 else arc * scale ** (end - start))
+    return np.log(alpha[size]) - size * np.log(scale)
 
 
 def forward_long(word: bytes, model: Model) -> np.ndarray:
@@ -110,16 +121,17 @@ def expected_counts(words: np.ndarray, weight: np.ndarray, pieces: Pieces, proba
     n, size = words.shape
     arcs = list(_lattice(words, pieces))
     alpha, beta = np.zeros((size + 1, n)), np.zeros((size + 1, n))
-    alpha[0], beta[size] = 1, 1
+    alpha[0], beta[size], scale = 1, 1, _byte_scale(probability, size)
+    powers = scale ** np.arange(size + 1)
     for start, end, piece in arcs:
-        alpha[end] += alpha[start] * probability[piece]
+        alpha[end] += alpha[start] * probability[piece] * powers[end - start]
     for start, end, piece in sorted(arcs, key=lambda arc: -arc[0]):
-        beta[start] += beta[end] * probability[piece]
+        beta[start] += beta[end] * probability[piece] * powers[end - start]
     counts = np.zeros(pieces.hashes.size + 1)
     for start, end, piece in arcs:
-        counts += np.bincount(
-            piece, weight * alpha[start] * probability[piece] * beta[end] / alpha[size], minlength=counts.size
-        )
+        # Divided first: the two sums together may pass the range of a number.
+        share = alpha[start] / alpha[size] * beta[end] * probability[piece] * powers[end - start]
+        counts += np.bincount(piece, weight * share, minlength=counts.size)
     return counts
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -21,6 +22,8 @@ from pyspark.sql.types import StructField, StructType
 SLICE = 1 << 20
 GROUP = 4 << 20
 BATCH = 8 << 20
+# A sum of powers modulo 2 ** 64 tells long spans of few different bytes apart badly; longer words are named by a digest.
+LONG_WORD = 64
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -101,16 +104,25 @@ def row_groups(offsets: np.ndarray, limit: int = GROUP) -> Iterator[tuple[int, i
         at = to
 
 
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    found = span_hashes(prefix_hashes(data), starts, ends)
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        found[k] = int.from_bytes(blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest(), "little")
+    return found
+
+
 def find_words(
     data: np.ndarray,
     offsets: np.ndarray,
     table: np.ndarray,
     lower: bool = True,
     cut: Callable[[np.ndarray], np.ndarray] | None = None,
+    hashed: bool = True,
 ) -> Words:
     """Runs of the bytes in ``table``, never across rows, with the hashes of their (lower-cased) bytes.
 
-    ``cut`` marks the bytes of an array, but the first, at which a new word starts inside a run.
+    Words of more than ``LONG_WORD`` bytes are hashed by a cryptographic digest.
+    Without ``hashed`` all hashes are 0.  ``cut`` marks the bytes of an array, but the first, at which a new word starts inside a run.
     """
     starts, ends, hashes, at = [], [], [], 0
     while at < data.size:
@@ -139,7 +151,7 @@ def find_words(
         s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
         starts.append(s + at)
         ends.append(e + at)
-        hashes.append(span_hashes(prefix_hashes(LOWER[part] if lower else part), s, e))
+        hashes.append(_word_hashes(LOWER[part] if lower else part, s, e) if hashed else np.zeros(s.size, np.uint64))
         at = to
     if not starts:
         none = np.zeros(0, np.int64)

@@ -63,8 +63,8 @@ def _cut(data: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of texts by a vocabulary of the tokenizers library, whose tokens don't cross the cuts made here.
 
-    Each distinct word is given to the library once, and remembered; within a
-    group of texts, words are told apart by 64-bit hashes.
+    Each distinct word is given to the library once, and remembered; words are
+    told apart by all their bytes.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -109,10 +109,13 @@ class Encoder:
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by ``end``, and the end of each text among them."""
         data, offsets = text_bytes(texts)
-        words = find_words(data, offsets, ~SPACE, lower=False, cut=_cut)
-        _, some, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        spelled = [raw[a:b] for a, b in zip(words.starts[some].tolist(), words.ends[some].tolist())]
+        words = find_words(data, offsets, ~SPACE, lower=False, cut=_cut, hashed=False)
+        # The words, end to end, are all bytes but the white space; Arrow compares them whole.
+        limits = np.zeros(words.starts.size + 1, np.int64)
+        np.cumsum(words.ends - words.starts, out=limits[1:])
+        buffers = [None, pa.py_buffer(limits), pa.py_buffer(data[~SPACE[data]])]
+        coded = pa.Array.from_buffers(pa.large_binary(), words.starts.size, buffers).dictionary_encode()
+        which, spelled = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         # The vocabulary is of lower case; other letters than A-Z may not be composed alike in both cases.
         spelled = [w.lower() if w.isascii() else w for w in spelled]
         if len(self.known) > REMEMBERED:
