@@ -109,3 +109,16 @@ def test_languages_without_spaces_are_learned(spark):
     assert model.languages == ["en", "ja"]
     docs = frame(spark, [(1, "空白がありません。漢字と仮名で書かれます。日本語の文章です。"), (2, "short words of a text")])
     assert by_id(g.identify(docs, model), "lang_pred") == {1: ("ja",), 2: ("en",)}
+
+
+@pytest.mark.parametrize("size", [1, 30, 40, 41, 60])
+def test_words_of_unlikely_pieces_have_a_score(size):
+    """Probabilities far below those of a large sample: sums over 40 bytes are below the least number."""
+    model = toy()
+    tiny = g.Model(model.languages, model.pieces, model.probability * 1e-9)
+    word = b"q\xc3\xa9" * 20
+    word = word[:size]
+    short = g.forward(np.frombuffer(word, np.uint8)[None], tiny)[0]
+    assert np.isfinite(short).all() and np.allclose(short, g.forward_long(word, tiny))
+    counts = g.expected_counts(np.frombuffer(word, np.uint8)[None], np.ones(1), tiny.pieces, tiny.probability[:, 0])
+    assert np.isfinite(counts).all() and np.allclose(counts, g.expected_long(word, 1.0, tiny.pieces, tiny.probability[:, 0]))

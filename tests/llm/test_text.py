@@ -48,3 +48,37 @@ def test_added_columns_replace_those_of_the_same_name(spark):
     found = t.add_columns(docs, ["text"], lambda: lambda texts: [[len(x or "") for x in texts.to_pylist()]], "n BIGINT")
     assert sorted(map(tuple, found.collect())) == [(1, "a", 1), (2, None, 0)]
     assert t.positional(docs).columns == ["c0", "c1", "c2"]
+
+
+def twins():
+    """Two different words of 1,024 letters whose sums of powers modulo 2 ** 64 are equal for every odd base."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_long_words_of_equal_sums_have_other_hashes():
+    one, other = twins()
+    data, offsets = t.text_bytes(pa.array([one, other, one]))
+    sums = t.span_hashes(t.prefix_hashes(data), offsets[:-1], offsets[1:])
+    assert sums[0] == sums[1]
+    hashes = t.find_words(data, offsets, WORD).hashes
+    assert hashes[0] != hashes[1] and hashes[0] == hashes[2]
+
+
+def test_words_of_equal_sums_in_the_operators(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from affinis.llm import cross_entropy, jaccard, tokens
+
+    one, other = twins()
+    path = public_tokenizers.path(tokens.VOCABULARY)
+    encoder, library = tokens.Encoder(open(path, encoding="utf-8").read()), Tokenizer.from_file(path)
+    ids, ends = encoder.encode(pa.array([one, other]), tokens.END)
+    for text, a, b in zip((one, other), [0, *ends], ends):
+        assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids + [tokens.END]
+    rows = [(1, f"w {one} x y z v"), (2, f"w {other} x y z v"), (3, f"w {one} x y z v")]
+    found = {r.doc_id: r.component_id for r in jaccard.linked_groups(frame(spark, rows)).collect()}
+    assert found == {1: 1, 2: 2, 3: 1}
+    _, hashes, _ = cross_entropy._hashed_bigrams(pa.array([one, other]))
+    assert hashes[0] != hashes[1]
