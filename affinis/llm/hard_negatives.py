@@ -365,7 +365,7 @@ def _index(points: DataFrame, size: int, kind: str, largest: float, cells: int |
 
 
 def _hundredth(value: Column) -> Column:
-    """``floor(value / 100)`` of a BIGINT."""
+    """``floor(value / 100)`` as a BIGINT, of a DECIMAL."""
     return F.call_function("div", value - F.pmod(value, F.lit(100)), F.lit(100))
 
 
@@ -525,8 +525,8 @@ def mine(
     by_anchor = near.groupBy("anchor").agg(in_order.alias("p"))
     windowed = chosen.join(by_anchor, "anchor").select(
         *["anchor", "label", "v"],
-        F.transform("p", lambda p: -_hundredth(-p["score"] * low)).alias("low"),
-        F.transform("p", lambda p: _hundredth(p["score"] * high)).alias("high"),
+        F.transform("p", lambda p: -_hundredth(p["score"].cast("decimal(20,0)") * F.lit(-low))).alias("low"),
+        F.transform("p", lambda p: _hundredth(p["score"].cast("decimal(20,0)") * F.lit(high))).alias("high"),
         F.transform("p", lambda p: F.lit(NONE)).alias("least"),
     )
     found = _search(stage(windowed), trees, shared, negatives, False)
