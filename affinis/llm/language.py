@@ -122,7 +122,7 @@ def expected_counts(words: np.ndarray, weight: np.ndarray, pieces: Pieces, proba
     arcs = list(_lattice(words, pieces))
     alpha, beta = np.zeros((size + 1, n)), np.zeros((size + 1, n))
     alpha[0], beta[size], scale = 1, 1, _byte_scale(probability, size)
-    powers = scale ** np.arange(size + 1)
+    powers = scale ** np.arange(min(size, pieces.longest) + 1)
     for start, end, piece in arcs:
         alpha[end] += alpha[start] * probability[piece] * powers[end - start]
     for start, end, piece in sorted(arcs, key=lambda arc: -arc[0]):
