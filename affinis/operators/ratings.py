@@ -40,3 +40,20 @@ def element_sets(ratings: DataFrame, entity: str, element: str, parts: int = SET
     sets = members.groupBy("id", part).agg(F.array_sort(F.collect_set("e")).alias("elements"))
     sizes = sets.groupBy("id").agg(F.sum(F.size("elements")).alias("n"))
     return sets.join(sizes, "id").select("id", "part", "n", "elements")
+
+
+def element_bags(ratings: DataFrame, entity: str, element: str, parts: int = SET_PARTS) -> DataFrame:
+    """Bag of ``element`` per ``entity``: ``id, part, n, elements, counts``, the elements sorted, each with its count.
+
+    As ``element_sets``, but repeated rows count: ``n`` is the size of the
+    whole bag.  Repeats are counted before the shuffle, so an element
+    that occurs a million times is one entry.  Rows without an entity or element
+    are left out.
+    """
+    members = ratings.select(F.col(entity).alias("id"), F.col(element).alias("e")).dropna()
+    counts = members.groupBy("id", "e").agg(F.count("*").alias("c"))
+    part = F.pmod(element_hash(F.col("e")), F.lit(parts)).alias("part")
+    bags = counts.groupBy("id", part).agg(F.array_sort(F.collect_list(F.struct("e", "c"))).alias("bag"))
+    sizes = bags.groupBy("id").agg(F.sum(F.aggregate("bag.c", F.lit(0).cast("bigint"), lambda s, c: s + c)).alias("n"))
+    found = bags.join(sizes, "id")
+    return found.select("id", "part", "n", F.col("bag.e").alias("elements"), F.col("bag.c").alias("counts"))

@@ -48,6 +48,11 @@ def holdout(spark: SparkSession, folder: str, item: str = "l_partkey") -> DataFr
     return ratings(spark, folder, item, HOLDOUT_FROM)
 
 
+def ordered_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """``user, item``: customer and supplier of every order line."""
+    return _ordered_lines(spark, folder).select(F.col("o_custkey").alias("user"), F.col("l_suppkey").alias("item"))
+
+
 def customers_of_suppliers(spark: SparkSession, folder: str) -> DataFrame:
     """``id`` = supplier, ``element`` = customer."""
     return distinct_members(_ordered_lines(spark, folder), "l_suppkey", "o_custkey")

@@ -83,6 +83,14 @@ ORACLE["ratings_apart_counts"] = (
     + " count(*) FILTER (WHERE item % 50 = 0) AS bad FROM ratings"
 )
 
+ORACLE["item_user_bags"] = f"""WITH counts AS (SELECT l_suppkey AS id, o_custkey AS e, count(*) AS c,
+        ('0x' || substr(md5(CAST(o_custkey AS VARCHAR)), 1, 7))::BIGINT % {SET_PARTS} AS part
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
+sizes AS (SELECT id, CAST(sum(c) AS BIGINT) AS n FROM counts GROUP BY id)
+SELECT id, part, n, string_agg(CAST(e AS VARCHAR), ',' ORDER BY e) AS elements,
+    string_agg(CAST(c AS VARCHAR), ',' ORDER BY e) AS counts
+FROM counts JOIN sizes USING (id) GROUP BY id, part, n"""
+
 # Set similarity
 
 ORACLE["known_pairs"] = """SELECT DISTINCT least(o_custkey, l_suppkey) AS id1, greatest(o_custkey, l_suppkey) AS id2

@@ -144,6 +144,13 @@ def item_user_sets(spark, folder):
     return comparable(rating_ops.element_sets(stage(tables.ratings(spark, folder)), "item", "user"))
 
 
+@query
+def item_user_bags(spark, folder):
+    """Suppliers with the customers of each order line: repeats count."""
+    orders = stage(tables.ordered_pairs(spark, folder))
+    return comparable(rating_ops.element_bags(orders, "item", "user"))
+
+
 # Set similarity
 
 

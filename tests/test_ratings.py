@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from affinis.operators.ratings import element_sets, mean_rating, one_rating_per_pair, train_minus_test
+from affinis.operators.ratings import element_bags, element_sets, mean_rating, one_rating_per_pair, train_minus_test
 from affinis.sources import addressable as A
 from affinis.sources import read_pairs, read_ratings, read_ratings_apart, write_sorted
 
@@ -177,3 +177,15 @@ def test_a_failed_attempt_leaves_no_manifest(spark, ratings, tmp_path):
     assert not (tmp_path / "out" / A.MANIFEST).exists()
     A.write_addressable(rows.limit(0), str(tmp_path / "none"), ["user"])
     assert A.read_range(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_bags_keep_repeats(spark):
+    rows = [(1, 5)] * 3 + [(1, 7), (2, 5), (1, None), (None, 5)] + [(3, k) for k in range(40)] * 2
+    df = spark.createDataFrame(rows, "user BIGINT, item BIGINT")
+    bags, sizes = {}, {}
+    for r in element_bags(df, "user", "item", 4).collect():
+        bags.setdefault(r.id, {}).update(zip(r.elements, r.counts, strict=True))
+        sizes[r.id] = r.n
+    assert bags == {1: {5: 3, 7: 1}, 2: {5: 1}, 3: {k: 2 for k in range(40)}}
+    assert sizes == {1: 4, 2: 1, 3: 80}
+    assert element_bags(df.limit(0), "user", "item").count() == 0
