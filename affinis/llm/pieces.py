@@ -336,23 +336,12 @@ def encode(docs: DataFrame, text: str = "text", model: str | None = None) -> Dat
     return add_columns(docs, [text], make, "ids BINARY, begins BINARY, ends BINARY", GROUP_BYTES)
 
 
-def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
-    """``encoded`` with ``decoded``, the text of its ``ids`` as the library gives it; null ids give an empty one."""
-    shared = _model(encoded, model)
-
-    def make():
-        def apply(column: pa.Array) -> list:
-            data, offsets = text_bytes(column)
-            values = data.view("<u4") if data.size else data
-            return [_coder(shared.value).decode([values[a // 4 : b // 4].tolist() for a, b in zip(offsets, offsets[1:])])]
+def decode(encoded: DataFrame, model: str | None = None, id_text: bool = False) -> DataFrame:
+    """``encoded`` with ``decoded``, the text of its ``ids`` as the library gives it; null ids give an empty one.
 
-        return apply
-
-    return add_columns(encoded, ["ids"], make, "decoded STRING")
-
-
-def id_text(encoded: DataFrame) -> DataFrame:
-    """``encoded`` with ``id_text``, its ``ids`` in decimals with commas between them."""
+    ``id_text`` asks for a column of that name too: the ids in decimals with commas between them.
+    """
+    shared = _model(encoded, model)
 
     def make():
         names: list[str] = []
@@ -360,12 +349,16 @@ def id_text(encoded: DataFrame) -> DataFrame:
         def apply(column: pa.Array) -> list:
             data, offsets = text_bytes(column)
             values = data.view("<u4") if data.size else data
+            ids = [values[a // 4 : b // 4].tolist() for a, b in zip(offsets, offsets[1:])]
+            decoded = _coder(shared.value).decode(ids)
+            if not id_text:
+                return [decoded]
             names.extend(map(str, range(len(names), int(values.max(initial=0)) + 1)))
-            return [[",".join([names[i] for i in values[a // 4 : b // 4].tolist()]) for a, b in zip(offsets, offsets[1:])]]
+            return [decoded, [",".join([names[i] for i in row]) for row in ids]]
 
         return apply
 
-    return add_columns(encoded, ["ids"], make, "id_text STRING")
+    return add_columns(encoded, ["ids"], make, "decoded STRING" + (", id_text STRING" if id_text else ""))
 
 
 def digest(docs: DataFrame, model: str | None = None) -> DataFrame:
@@ -373,7 +366,7 @@ def digest(docs: DataFrame, model: str | None = None) -> DataFrame:
     coded = encode(docs.select("doc_id", "text"), model=model)
     spans = F.sha2(F.concat("begins", "ends"), 256)
     kept = coded.select("doc_id", "ids", spans.alias("spans_sha256"))
-    return id_text(decode(kept, model)).select(
+    return decode(kept, model, id_text=True).select(
         "doc_id",
         (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("id_text", 256).alias("ids_sha256"),
