@@ -6,6 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Removes a query's shuffle files when it ends; otherwise they stay until the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``, or the one set on the context."""
@@ -19,11 +22,18 @@ def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back.
 
     Cuts lineage, so a lost executor costs no recomputation, and gives later
-    scans column pruning and true file sizes for the choice of join.
+    scans column pruning and true file sizes for the choice of join.  The shuffle
+    files of the write are removed at its end, so a chain of stages needs the disk
+    of one; the session's own setting is put back.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    own = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, own)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,11 +1,13 @@
 import random
+import time
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from affinis.plans import pair_join, spread, split_join, stage
 from affinis.plans.skew import hot_cells, lookup_join
-from affinis.plans.staging import shared_folder
+from affinis.plans.staging import CLEANUP, shared_folder
 
 from .conftest import tuples
 
@@ -45,6 +47,23 @@ def test_stage_and_spread(spark):
     assert spread(spark.range(0, 100, 1, 9)).rdd.getNumPartitions() == 9
 
 
+def test_staging_removes_its_shuffle_files_and_keeps_the_setting(spark):
+    def shuffles():
+        return set(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split())
+
+    before, own = shuffles(), spark.conf.get(CLEANUP)
+    staged = stage(spark.range(0, 1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert spark.conf.get(CLEANUP) == own
+    deadline = time.monotonic() + 20
+    while [f for f in shuffles() - before if "shuffle_" in f] and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert not [f for f in shuffles() - before if "shuffle_" in f]
+    assert staged.count() == 7
+    with pytest.raises(Exception, match="no good"):
+        stage(spark.range(1).select(F.raise_error(F.lit("no good")).cast("int").alias("x")))
+    assert spark.conf.get(CLEANUP) == own
+
+
 def test_a_cluster_must_name_a_shared_folder():
     def session(configured, on_context=None):
         conf = SimpleNamespace(get=lambda name, default: configured)
