@@ -45,6 +45,10 @@ BROADCAST_IDS = 1_000_000
 SHORT = 64
 # Pairs of one group whose distances are taken at once.
 TILE = 256
+# Members of one part of an open group; each two parts of a larger group meet in a task.
+PART = 2_000
+# Pairs a task holds before it hands them on.
+HELD = 100_000
 
 WORD = ~byte_class([(0x09, 0x0D), (0x20, 0x20)])
 ID = 12
@@ -278,32 +282,51 @@ def _near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.take(pa.array(kept, pa.int32())).select(["a", "b"])
 
 
+def _open_groups(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``grp, sid, root`` of the groups whose members are in several components."""
+    known = members.select("grp", "sid").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    ends = known.groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return known.join(ends.filter("low <> high").select("grp"), "grp", "left_semi").select("grp", "sid", "root")
+
+
+def _cells(groups: DataFrame, part: int) -> DataFrame:
+    """``groups`` with ``x, y, own``: members dealt into parts, every two of which (and each by itself) are a cell."""
+    sizes = groups.groupBy("grp").agg(F.ceil(F.count("*") / part).alias("parts"))
+    dealt = groups.join(sizes, "grp").withColumn("own", F.expr("pmod(xxhash64(sid), parts)"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    return dealt.select("*", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+
+
 def _open_pairs(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Close pairs of a group's members in different components, all or each member's nearest.
+    """Close pairs of a cell's members in different components, all or each member's nearest.
 
-    Rows come group by group; pairs that a task meets again soon are left out.
+    Rows (grp, x, y, own, sid, root, n, sketch) come cell by cell; members of one part are compared in
+    the part's own cell.  Pairs that a task meets again soon are left out.
     """
 
     def pairs(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-        if len({root for _, root, _, _ in rows}) < 2:
+        if len({r[2] for r in rows}) < 2:
             return
-        size = min(len(s) for *_, s in rows)
+        size = min(len(r[4]) for r in rows)
         wide = defaultdict(list)
         for row in rows:
-            wide[len(row[3])].append(row)
+            wide[len(row[4])].append(row)
         rows = [row for part in wide.values() for row in part]
         sketch = np.concatenate(
-            [fold(np.array([np.frombuffer(r[3], np.uint8) for r in part]), size) for part in wide.values()]
+            [fold(np.array([np.frombuffer(r[4], np.uint8) for r in part]), size) for part in wide.values()]
         )
-        n = np.array([r[2] for r in rows])
+        n, own = np.array([r[3] for r in rows]), np.array([r[0] for r in rows])
+        mixed = own.min() < own.max()
         index: dict[bytes, int] = {}
-        root = np.array([index.setdefault(r[1], len(index)) for r in rows])
+        root = np.array([index.setdefault(r[2], len(index)) for r in rows])
         for a in range(0, len(rows), TILE):
             best, partner = np.full(len(rows[a : a + TILE]), np.inf), np.zeros(len(rows[a : a + TILE]), np.int64)
             for b in range(0 if nearest else a, len(rows), TILE):
                 x, y = slice(a, a + TILE), slice(b, b + TILE)
                 distance, close = _near(sketch[x, None], sketch[None, y], n[x, None], n[None, y])
                 close &= root[x, None] != root[None, y]
+                if mixed:
+                    close &= own[x, None] != own[None, y]
                 if nearest:
                     distance = np.where(close, distance, np.inf)
                     least = distance.min(1)
@@ -312,27 +335,32 @@ def _open_pairs(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
                     continue
                 for i, j in np.argwhere(close):
                     if a + i < b + j:
-                        yield tuple(sorted((rows[a + i][0], rows[b + j][0])))
+                        yield tuple(sorted((rows[a + i][1], rows[b + j][1])))
             for i in np.flatnonzero(best < np.inf):
-                yield tuple(sorted((rows[a + i][0], rows[partner[i]][0])))
+                yield tuple(sorted((rows[a + i][1], rows[partner[i]][1])))
 
-    def packed(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([p[0] for p in found], pa.binary()), pa.array([p[1] for p in found], pa.binary())], names=["a", "b"]
-        )
+    def packed(found: set[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        sides = [pa.array([pair[k] for pair in found], pa.binary()) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays(sides, names=["a", "b"])
 
-    group, rows, found = None, [], set()
-    for batch in batches:
-        for of, *row in zip(*(c.to_pylist() for c in batch.columns)):
-            if of != group:
-                found.update(pairs(rows))
-                group, rows = of, []
-            rows.append(tuple(row))
-            if len(found) > 100_000:
-                yield packed(list(found))
+    def cells() -> Iterator[list[tuple]]:
+        cell, rows = None, []
+        for batch in batches:
+            for grp, x, y, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (grp, x, y) != cell:
+                    yield rows
+                    cell, rows = (grp, x, y), []
+                rows.append(tuple(row))
+        yield rows
+
+    found = set()
+    for rows in cells():
+        for pair in pairs(rows):
+            found.add(pair)
+            if len(found) > HELD:
+                yield packed(found)
                 found = set()
-    found.update(pairs(rows))
-    yield packed(list(found))
+    yield packed(found)
 
 
 def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -377,7 +405,7 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return stage(both.mapInArrow(_verified, "a BINARY, b BINARY"))
 
 
-def linked_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def linked_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: int = PART) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``.
 
     Words are runs of bytes other than white space (A-Z lower-cased), shingles
@@ -386,7 +414,8 @@ def linked_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rows too.  ``component_id`` is the smallest id reachable by links; null ids
     count only where a component has no other.  Sets are compared by 64-bit
     hashes of their shingles.  An empty table gives an empty table; other columns
-    are not read.  Stages intermediates, so it runs jobs when called.
+    are not read.  A group that links leave open is compared in cells of two parts of
+    about ``part`` members.  Stages intermediates, so it runs jobs when called.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -422,13 +451,17 @@ def linked_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     # The others, where a group still has members of several components.
     done = first
     roots = stage(components(links)).withColumnRenamed("node", "sid")
+    groups = members
     for nearest in (True, False):
+        # Groups of one component are settled before sketches are looked up.
+        groups = stage(_open_groups(groups, roots))
+        if groups.isEmpty():
+            break
         # A short sketch is enough to tell which is near.
-        sketch = F.col("short" if nearest else "sketch").alias("sketch")
-        known = sketches.join(roots, "sid", "left").select("sid", F.coalesce("root", "sid").alias("root"), "n", sketch)
-        placed = members.select("grp", "sid").join(known, "sid").select("grp", "sid", "root", "n", "sketch")
-        placed = placed.repartition("grp").sortWithinPartitions("grp")
-        pairs = placed.mapInArrow(partial(_open_pairs, nearest), "a BINARY, b BINARY").distinct()
+        known = sketches.select("sid", "n", F.col("short" if nearest else "sketch").alias("sketch"))
+        cells = _cells(groups, part).join(known, "sid").select("grp", "x", "y", "own", "sid", "root", "n", "sketch")
+        cells = cells.repartition("grp", "x", "y").sortWithinPartitions("grp", "x", "y")
+        pairs = cells.mapInArrow(partial(_open_pairs, nearest), "a BINARY, b BINARY").distinct()
         pairs = stage(pairs.join(done, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
             done, links = done.unionAll(pairs), links.unionAll(_verify(pairs, docs))

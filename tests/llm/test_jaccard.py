@@ -72,6 +72,29 @@ def test_equals_brute_force(spark, monkeypatch, share):
     assert found(j.linked_groups(frame(spark, rows).repartition(7))) == brute(rows)
 
 
+def test_open_groups_in_cells_of_few_members(spark, monkeypatch):
+    """Every two parts of an open group meet, and pairs are handed on a few at a time."""
+    monkeypatch.setattr(j, "FREQUENT_SHARE", 2)
+    monkeypatch.setattr(j, "HELD", 3)
+    rows = cases()
+    assert found(j.linked_groups(frame(spark, rows).repartition(3), part=5)) == brute(rows)
+
+
+def test_cells_hold_every_two_members(spark):
+    groups = spark.createDataFrame([(g, b"%d" % k, b"r") for g, n in ((1, 40), (2, 3)) for k in range(n)], "grp INT, sid BINARY, root BINARY")
+    cells = {}
+    for r in j._cells(groups, 8).collect():
+        cells.setdefault((r.grp, r.x, r.y), []).append((bytes(r.sid), r.own))
+    for g, n in ((1, 40), (2, 3)):
+        met = [
+            tuple(sorted((a, b)))
+            for (grp, x, y), rows in cells.items() if grp == g
+            for k, (a, p) in enumerate(rows) for b, q in rows[:k] if x == y or p != q
+        ]
+        assert len(met) == len(set(met)) == n * (n - 1) // 2
+    assert len({x for g, x, _ in cells if g == 1}) == 5
+
+
 def test_ids_beyond_the_broadcast_bound_are_joined(spark, monkeypatch):
     monkeypatch.setattr(j, "BROADCAST_IDS", 0)
     rows = cases()[:120]
