@@ -8,13 +8,17 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinis.plans.skew import GROUP_LIMIT, hot_groups, pair_join, split_join
+from affinis.plans.skew import GROUP_LIMIT, by_key, group_work, pair_join, partitions, split_join
 from affinis.plans.staging import stage
 
 # Weights of rounding errors only, in centred sums.
 TOLERANCE = 1e-12
 # Fewer common ratings than this give no weight.
 MIN_SUPPORT = 2
+# Pair rows that one task adds up, few enough for its sums to stay in memory.
+TASK_PAIRS = 1_000_000
+# More tasks than this make too many shuffle blocks.
+MOST_TASKS = 10_000
 
 _SUMS = ["n", "sx", "sy", "sxy", "sxx", "syy"]
 _MOMENTS = ["n", "mx", "my", "cxy", "cxx", "cyy"]
@@ -89,6 +93,14 @@ def _merged_moments(states: DataFrame) -> DataFrame:
     )
 
 
+def _turned(columns: list[str]) -> list[Column]:
+    """The columns of a ``Statistic`` with ``id1 < id2``, where the two sides may have come the other way round."""
+    other = {"id1": "id2", "id2": "id1"}
+    other |= {c: c.translate(str.maketrans("xy", "yx")) for c in columns if c not in ("sxy", "cxy", *other)}
+    wrong = F.col("id1") > F.col("id2")
+    return [F.when(wrong, F.col(other.get(c, c))).otherwise(F.col(c)).alias(c) for c in columns]
+
+
 SUMS = Statistic(lambda pairs: _total(_terms(pairs)), _total)
 MOMENTS = Statistic(_moments, _merged_moments)
 
@@ -99,6 +111,46 @@ def _rows(ratings: DataFrame, entity: str, feature: str) -> DataFrame:
     return rows.dropna()
 
 
+def _short(rows: DataFrame) -> tuple[DataFrame, str, str]:
+    """``rows`` with ids as ints and ratings as floats where these hold every value, and their own types."""
+    kinds = dict(rows.dtypes)
+    ids, values = kinds["id"] == "bigint", kinds["r"] == "double"
+    bound = 2**31 - 1
+    fits = F.every(F.col("id").between(-bound, bound)) if ids else F.lit(False)
+    exact = F.every(F.col("r").cast("float").cast("double") == F.col("r")) if values else F.lit(False)
+    small, single = rows.agg(fits, exact).first()
+    columns = {"id": F.col("id").cast("int")} if small else {}
+    columns |= {"r": F.col("r").cast("float")} if single else {}
+    return rows.withColumns(columns) if columns else rows, kinds["id"], kinds["r"]
+
+
+def _packed_sums(rows: DataFrame, work: int, statistic: Statistic) -> DataFrame:
+    """``statistic`` of all pairs in rows ``id, f, r`` whose groups of ``f`` fit in a task.
+
+    A pair belongs to its side with fewer ratings.  Each feature sends every
+    entity one row with the entities after it in that order, as two arrays, and
+    their pairs are written out and added up behind that one shuffle; partial
+    sums of pairs, which seldom meet twice in one task, are never moved.  So an
+    entity that all have in common receives only those with as many ratings.
+    """
+    degrees = rows.groupBy("id").agg(F.count("*").alias("d"))
+    short, id_type, r_type = _short(rows)
+    ranked = short.join(degrees.withColumn("id", F.col("id").cast(dict(short.dtypes)["id"])), "id")
+    lists = by_key(ranked, ["f"]).groupBy("f").agg(F.array_sort(F.collect_list(F.struct("d", "id", "r"))).alias("l"))
+    lists = lists.filter(F.size("l") > 1).select(F.col("l.id").alias("ids"), F.col("l.r").alias("rs"))
+    rest = (F.col("at") + 2, F.size("ids"))
+    packed = lists.select("ids", "rs", F.posexplode("ids").alias("at", "id1")).filter(F.col("at") + 1 < F.size("ids"))
+    packed = packed.select(
+        "id1", F.get("rs", F.col("at")).alias("x"), F.slice("ids", *rest).alias("ids"), F.slice("rs", *rest).alias("rs")
+    )
+    tasks = max(partitions(rows.sparkSession), min(work // 2 // TASK_PAIRS, MOST_TASKS))
+    dealt = packed.repartition(tasks, "id1").select("id1", "x", "rs", F.posexplode("ids").alias("at", "id2"))
+    own = {"id1": id_type, "id2": id_type, "x": r_type, "y": r_type}
+    pairs = dealt.filter("id1 <> id2").withColumn("y", F.get("rs", F.col("at")))
+    found = statistic.of(pairs.select("id1", "id2", *[F.col(c).cast(own[c]).alias(c) for c in ("x", "y")]))
+    return found.select(*[F.col(c).cast(own[c]) if c in own else F.col(c) for c in found.columns])
+
+
 def co_rating_sums(
     ratings: DataFrame,
     entity: str,
@@ -111,8 +163,9 @@ def co_rating_sums(
 
     ``statistic`` says what is kept of the ratings: ``SUMS`` of products, or ``MOMENTS`` around the means.
 
-    An inverted-index self-join on ``feature``, aggregated before the shuffle by
-    pair.  Ratings without a value count for nothing.  Runs one counting job.
+    An inverted index on ``feature``, whose groups are paired where their pairs
+    are added up (see ``_packed_sums``).  Ratings without a value count for nothing.
+    Runs two counting jobs.
     Features whose pairs exceed ``limit`` and an average task are
     hot, and most pairs of their raters have nothing else in common.  So each
     entity leaves its most common hot feature out of the join: two entities
@@ -125,10 +178,10 @@ def co_rating_sums(
     if min_support < 2:
         raise ValueError("min_support must be at least 2")
     rows = _rows(ratings, entity, feature)
-    hot = hot_groups(rows, ["f"], limit)
+    hot, work = group_work(rows, ["f"], limit)
     if hot is None:
-        pairs = pair_join(rows, ["f"], "id", {"r": ("x", "y")}, limit=None)
-        return statistic.of(pairs).filter(F.col("n") >= min_support)
+        met = _packed_sums(rows, work, statistic).filter(F.col("n") >= min_support)
+        return met.select(*_turned(met.columns))
 
     common = rows.join(hot, "f")
     left_out = common.groupBy("id").agg(F.max(F.struct("_n", "f", "r")).alias("top")).select("id", "top.f", "top.r")

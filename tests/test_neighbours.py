@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -223,3 +224,28 @@ def test_centred_weights_of_odd_ratings(ratings):
     rows += [(3, 0, float("inf")), (3, 1, 1.0), (4, 0, float("nan")), (4, 1, 2.0), (5, 0, None), (5, 1, 1.0)]
     assert user_pearson(ratings(rows), centred=True).count() == 0
     assert user_pearson(ratings([]), centred=True).count() == 0
+
+
+def test_sums_of_pairs_are_not_moved(ratings):
+    """Pairs are made behind the last shuffle, where their sums stay."""
+    for centred in (False, True):
+        plan = item_pearson(ratings(random_ratings(3)), centred=centred)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(id1" in plan
+        assert "id1#" in plan and not re.search(r"Exchange hashpartitioning\(id1#\d+\w*, id2", plan)
+
+
+@pytest.mark.parametrize("shift", [0, 2**31 - 10, -(2**40)])
+@pytest.mark.parametrize("share", [0.0, 0.1])
+def test_ids_and_ratings_of_any_size(ratings, shift, share):
+    """Also ids beyond 32 bits and ratings that no float holds."""
+    plain = random_ratings(11)
+    rows = [(u + shift, i - shift, r + share) for u, i, r in plain]
+    expected = {(a + shift, b + shift): w for (a, b), w in as_weights(user_pearson(ratings(plain))).items()}
+    assert expected
+    assert_same(as_weights(user_pearson(ratings(rows), centred=True)), expected)
+
+
+def test_repeated_ratings_count_each_and_never_pair_with_themselves(ratings):
+    rows = [(1, 1, 1.0), (1, 1, 2.0), (1, 2, 5.0), (2, 1, 3.0), (2, 2, 4.0), (2, 2, 4.0)]
+    got = {(r.id1, r.id2): tuple(r)[2:] for r in co_rating_sums(ratings(rows), "user", "item").collect()}
+    assert got == {(1, 2): (4, 13.0, 14.0, 49.0, 55.0, 50.0)}
