@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinis.functions.hashing import element_hash
+from affinis.plans.skew import by_key
 
 # Rows that a set is spread over.
 SET_PARTS = 16
@@ -33,13 +34,15 @@ def element_sets(ratings: DataFrame, entity: str, element: str, parts: int = SET
 
     Every set is spread over ``parts`` rows by a hash of the member, less those
     without one, whatever its size; ``n`` counts the members of the whole set.
-    For sets of very many members ask for more parts.
+    For sets of very many members ask for more parts.  Rows are dealt by set and
+    part before they are packed, and each row is packed once.
     """
-    members = ratings.select(F.col(entity).alias("id"), F.col(element).alias("e"))
+    members = ratings.select(F.col(entity).alias("id"), F.col(element).alias("e")).filter("id is not null")
     part = F.pmod(element_hash(F.col("e")), F.lit(parts)).alias("part")
-    sets = members.groupBy("id", part).agg(F.array_sort(F.collect_set("e")).alias("elements"))
-    sizes = sets.groupBy("id").agg(F.sum(F.size("elements")).alias("n"))
-    return sets.join(sizes, "id").select("id", "part", "n", "elements")
+    dealt = by_key(members.select("id", "e", part), ["id", "part"])
+    sets = dealt.groupBy("id", "part").agg(F.array_sort(F.collect_set("e")).alias("elements"))
+    n = F.sum(F.size("elements")).over(Window.partitionBy("id"))
+    return sets.select("id", "part", n.alias("n"), "elements")
 
 
 def element_bags(ratings: DataFrame, entity: str, element: str, parts: int = SET_PARTS) -> DataFrame:
@@ -53,7 +56,8 @@ def element_bags(ratings: DataFrame, entity: str, element: str, parts: int = SET
     members = ratings.select(F.col(entity).alias("id"), F.col(element).alias("e")).dropna()
     counts = members.groupBy("id", "e").agg(F.count("*").alias("c"))
     part = F.pmod(element_hash(F.col("e")), F.lit(parts)).alias("part")
-    bags = counts.groupBy("id", part).agg(F.array_sort(F.collect_list(F.struct("e", "c"))).alias("bag"))
-    sizes = bags.groupBy("id").agg(F.sum(F.aggregate("bag.c", F.lit(0).cast("bigint"), lambda s, c: s + c)).alias("n"))
-    found = bags.join(sizes, "id")
+    dealt = by_key(counts.select("id", "e", "c", part), ["id", "part"])
+    packed = F.array_sort(F.collect_list(F.struct("e", "c"))).alias("bag")
+    bags = dealt.groupBy("id", "part").agg(packed, F.sum("c").alias("c"))
+    found = bags.withColumn("n", F.sum("c").over(Window.partitionBy("id")))
     return found.select("id", "part", "n", F.col("bag.e").alias("elements"), F.col("bag.c").alias("counts"))

@@ -189,3 +189,15 @@ def test_bags_keep_repeats(spark):
     assert bags == {1: {5: 3, 7: 1}, 2: {5: 1}, 3: {k: 2 for k in range(40)}}
     assert sizes == {1: 4, 2: 1, 3: 80}
     assert element_bags(df.limit(0), "user", "item").count() == 0
+
+
+def test_sets_and_bags_are_packed_once(spark):
+    rows = [(k % 7, k % 50, 1.0) for k in range(400)] + [(1, None, 1.0), (None, 5, 1.0), (9, None, 1.0)]
+    df = spark.createDataFrame(rows, "user BIGINT, item BIGINT, rating DOUBLE")
+    for made, collect in ((element_sets, "collect_set("), (element_bags, "collect_list(")):
+        found = made(df, "user", "item", 4)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(collect) == 1 and "Join" not in plan
+    sets = element_sets(df, "user", "item", 4).collect()
+    assert {r.id for r in sets} == {*range(7), 9} and [(r.n, r.elements) for r in sets if r.id == 9] == [(0, [])]
+    assert all(r.n == 50 for r in sets if r.id < 7)
