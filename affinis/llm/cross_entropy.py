@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from affinis.llm.labels import SAMPLE, among, target_ids
+from affinis.llm.labels import good_ids, marked, target_ids
 from affinis.llm.text import (
     add_columns, byte_class, find_words, mix, owner, positional, row_groups, small_batches, text_bytes,
 )
@@ -28,7 +28,7 @@ from affinis.plans import stage
 from affinis.plans.skew import lookup_join
 
 # Distinct words a task holds before it hands them on.
-HELD = 2_000_000
+HELD = 500_000
 # Weight of the word model in a bigram's probability, in tokens.
 PRIOR = 100.0
 
@@ -56,6 +56,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield merged()
 
 
+def _flags(good: pa.Array) -> np.ndarray:
+    return good.to_numpy(zero_copy_only=False)
+
+
 def learn_vocabulary(docs: DataFrame, size: int) -> np.ndarray:
     """Ascending hashes of the ``size`` most frequent words of all of ``docs``; ties by hash."""
     counted = docs.select("text").mapInArrow(_count_words, "word BIGINT, n BIGINT")
@@ -75,23 +79,25 @@ def bigrams(texts: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.nda
     return before, number, owner(words.first)
 
 
-def learn(docs: DataFrame, target: np.ndarray, vocabulary: np.ndarray, prior: float = PRIOR) -> np.ndarray:
+def learn(
+    docs: DataFrame, target: DataFrame | np.ndarray, vocabulary: np.ndarray, prior: float = PRIOR
+) -> np.ndarray:
     """Losses of the target and the background model, by previous word and word.
 
     The background counts all of ``docs`` (doc_id, text), the target the rows whose
     id is in ``target``.  Tasks and driver hold a square of the vocabulary.
     """
     n = vocabulary.size + 1
-    shared = docs.sparkSession.sparkContext.broadcast((target, vocabulary))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, vocabulary = shared.value
+        vocabulary = shared.value
         cells = np.zeros((2, (n + 1) * n), np.int64)
         for batch in batches:
             _, offsets = text_bytes(batch.column(1))
             for a, b in row_groups(offsets):
                 before, word, row = bigrams(batch.column(1).slice(a, b - a), vocabulary)
-                good = among(batch.column(0).slice(a, b - a), target)[row]
+                good = _flags(batch.column(0).slice(a, b - a))[row]
                 cell = before * n + word
                 cells[0] += np.bincount(cell[good], minlength=cells.shape[1])
                 cells[1] += np.bincount(cell, minlength=cells.shape[1])
@@ -99,7 +105,8 @@ def learn(docs: DataFrame, target: np.ndarray, vocabulary: np.ndarray, prior: fl
         columns = [pa.array(some), pa.array(cells[0][some]), pa.array(cells[1][some])]
         yield pa.RecordBatch.from_arrays(columns, names=["cell", "target", "background"])
 
-    counted = docs.select("doc_id", "text").mapInArrow(count, "cell BIGINT, target BIGINT, background BIGINT")
+    counted = marked(docs.select("doc_id", "text"), target).select("good", "text")
+    counted = counted.mapInArrow(count, "cell BIGINT, target BIGINT, background BIGINT")
     total = counted.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
     total, losses = total.toPandas(), []
     for name in ("target", "background"):
@@ -129,7 +136,7 @@ def score(docs: DataFrame, losses: np.ndarray, vocabulary: np.ndarray, text: str
 # The word before a text's first.
 START = np.uint64(0x5354415254)
 # Bigrams of texts in a bucket, on average.
-BUCKET = 1_000_000
+BUCKET = 500_000
 # Losses are whole multiples of 1 / SCALE, so that sums do not depend on their order.
 SCALE = float(1 << 24)
 MODELS = ("target", "background")
@@ -170,9 +177,11 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys, np.array(sums).reshape(len(values), keys.size)
 
 
-def count_words(docs: DataFrame, target: np.ndarray) -> DataFrame:
-    """``word, target, background, target_end, background_end``: occurrences of every word, all and as a text's last."""
-    shared = docs.sparkSession.sparkContext.broadcast(target)
+def count_words(docs: DataFrame) -> DataFrame:
+    """``word, target, background, target_end, background_end``: occurrences of every word, all and as a text's last.
+
+    The target counts the rows of ``docs`` (text, good) that are good.
+    """
     names = [*MODELS, *(f"{m}_end" for m in MODELS)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +196,7 @@ def count_words(docs: DataFrame, target: np.ndarray) -> DataFrame:
             _, offsets = text_bytes(batch.column(1))
             for a, b in row_groups(offsets):
                 _, words, row = _hashed_bigrams(batch.column(1).slice(a, b - a))
-                good = among(batch.column(0).slice(a, b - a), shared.value)[row]
+                good = _flags(batch.column(0).slice(a, b - a))[row]
                 end = np.zeros(row.size, bool)
                 end[_ends(row)] = True
                 held.append(_sums(words, np.array([good, np.ones(row.size, bool), good & end, end])))
@@ -197,7 +206,7 @@ def count_words(docs: DataFrame, target: np.ndarray) -> DataFrame:
         if held:
             yield packed()
 
-    counted = docs.select("doc_id", "text").mapInArrow(count, ", ".join(f"{c} BIGINT" for c in ["word", *names]))
+    counted = docs.select("good", "text").mapInArrow(count, ", ".join(f"{c} BIGINT" for c in ["word", *names]))
     return counted.groupBy("word").agg(*(F.sum(c).alias(c) for c in names))
 
 
@@ -300,12 +309,12 @@ def _pack_group(texts: pa.Array, copies: np.ndarray, good: np.ndarray, t: Totals
     return n_tokens, blobs
 
 
-def packed_bigrams(docs: DataFrame, target: np.ndarray, t: Totals) -> DataFrame:
-    """Bigrams of ``docs`` (doc_id, text, tid) by bucket, and one row of each group with its different texts (kind 0)."""
-    shared = docs.sparkSession.sparkContext.broadcast((target, t))
+def packed_bigrams(docs: DataFrame, t: Totals) -> DataFrame:
+    """Bigrams of ``docs`` (good, text, tid) by bucket, and one row of each group with its different texts (kind 0)."""
+    shared = docs.sparkSession.sparkContext.broadcast(t)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, t = shared.value
+        t = shared.value
         # Rows of a task keep their order, so a task run again gives its groups the same numbers.
         grp = TaskContext.get().partitionId() << 32
         for batch in batches:
@@ -316,7 +325,7 @@ def packed_bigrams(docs: DataFrame, target: np.ndarray, t: Totals) -> DataFrame:
                 place = tids.indices.to_numpy(zero_copy_only=False)
                 _, first = np.unique(place, return_index=True)
                 copies = np.bincount(place)
-                good = np.bincount(place, among(part.column(0), target)).astype(np.int64)
+                good = np.bincount(place, _flags(part.column(0))).astype(np.int64)
                 n_tokens, blobs = _pack_group(part.column(1).take(pa.array(first)), copies, good, t)
                 digests, _ = text_bytes(tids.dictionary)
                 yield _blobs([(grp, grp % t.buckets, 0, _pack([digests.copy(), n_tokens.astype(np.int64)]))])
@@ -324,7 +333,7 @@ def packed_bigrams(docs: DataFrame, target: np.ndarray, t: Totals) -> DataFrame:
                     yield _blobs([(grp, k, 1, data)])
                 grp += 1
 
-    return docs.select("doc_id", "text", "tid").mapInArrow(run, BLOBS)
+    return docs.select("good", "text", "tid").mapInArrow(run, BLOBS)
 
 
 def _blobs(rows: list[tuple]) -> pa.RecordBatch:
@@ -428,23 +437,25 @@ def _tid(text: str) -> Column:
 
 def cross_entropy_difference(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int | None = None,
-    sample: int = SAMPLE, bucket: int = BUCKET,
+    sample: int | None = None, bucket: int = BUCKET,
 ) -> DataFrame:
     """``docs`` with the columns of ``score``; lower differences are more like the target.
 
-    Vocabulary and background are counted on all texts, the target model on up to
-    ``sample`` labelled rows.  The vocabulary has all words, or the ``size`` most frequent.  Null and wordless texts have null losses; without
+    Vocabulary and background are counted on all texts, the target model on all rows
+    that labels call good, or on up to ``sample`` of them.  The vocabulary has all words, or the ``size`` most frequent.  Null and wordless texts have null losses; without
     target rows every word is equally likely in the target model.  Repeated rows
     count each time and score alike.  New columns replace those of the same name.
     ``bucket`` is the number of bigrams of texts in a task.  Runs jobs when called, and
     stages intermediates unless there is a ``size``.
     """
     plain = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    target = good_ids(labels) if sample is None else target_ids(labels, sample)
     if size is None:
         small_batches(docs.sparkSession)
-        target = target_ids(labels, sample)
-        known = totals(stage(count_words(plain, target)), bucket)
-        sums = text_losses(packed_bigrams(plain.withColumn("tid", _tid("text")), target, known), known)
+        # Two passes read the same rows in the same order.
+        plain = stage(marked(plain, target).select("good", "text"), "zstd")
+        known = totals(stage(count_words(plain), "zstd"), bucket)
+        sums = text_losses(packed_bigrams(plain.withColumn("tid", _tid("text")), known), known)
         # Copies in other groups have the same sums.
         sums = sums.groupBy("tid").agg(F.max("n").alias("n_tokens"), *(F.max(m).alias(m) for m in MODELS))
         each = [F.try_divide(F.col(m) / SCALE, "n_tokens").alias(f"{m}_loss") for m in MODELS]
@@ -452,7 +463,7 @@ def cross_entropy_difference(
         means = stage(means.withColumn("difference", F.col("target_loss") - F.col("background_loss")))
         return score_all(docs, means, text)
     vocabulary = learn_vocabulary(plain, size)
-    return score(docs, learn(plain, target_ids(labels, sample), vocabulary), vocabulary, text)
+    return score(docs, learn(plain, target, vocabulary), vocabulary, text)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -11,16 +11,31 @@ from pyspark.sql import functions as F
 SAMPLE = 20_000
 
 
-def target_ids(labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
-    """Ascending ids of up to ``sample`` documents of quality 1 that aren't toxic.
+def good_ids(labels: DataFrame) -> DataFrame:
+    """``doc_id``: all documents of quality 1 that aren't toxic, once each.
 
     Rows with a null id or quality are left out, a null ``toxic`` counts as 0.
     """
-    good = labels.filter("doc_id is not null and quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
-    chosen = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
+    return labels.filter("doc_id is not null and quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct()
+
+
+def target_ids(labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
+    """Ascending ids of up to ``sample`` of ``good_ids``."""
+    chosen = good_ids(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
     return np.sort(chosen["doc_id"].to_numpy(np.int64))
 
 
+def marked(docs: DataFrame, target: DataFrame | np.ndarray) -> DataFrame:
+    """``docs`` with ``good``: whether ``doc_id`` is in ``target``, distinct ids as rows or as an array; a null never is.
+
+    Ids are joined, never broadcast, as they grow with the documents.
+    """
+    if isinstance(target, np.ndarray):
+        target = docs.sparkSession.createDataFrame([(int(i),) for i in target], "doc_id BIGINT")
+    found = target.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.lit(True).alias("good"))
+    return docs.join(found.hint("merge"), "doc_id", "left").withColumn("good", F.coalesce("good", F.lit(False)))
+
+
 def share(labels: DataFrame) -> float:
     """Share of quality 1 and not toxic among the rows with a quality; 1 where there are none."""
     good = F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1.0).otherwise(0.0)

@@ -126,3 +126,16 @@ def test_packed_arrays_return(spark):
     arrays = [np.array([1, 1 << 60], np.uint64), np.array([], np.uint32), np.array([-5, 7], np.int64)]
     for a, b in zip(arrays, c._unpack(c._pack(arrays), [a.dtype.type for a in arrays])):
         assert a.dtype == b.dtype and a.tolist() == b.tolist()
+
+
+@pytest.mark.parametrize("size", [None, 50])
+def test_every_labelled_document_counts(spark, size):
+    """Far more good labels than any sample holds: those of the documents all count."""
+    docs = frame(spark, ROWS).repartition(3)
+    own = spark.createDataFrame([(k, 1, 0) for k in range(30)], "doc_id BIGINT, quality INT, toxic INT")
+    more = spark.range(1000, 91_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    columns = "n_tokens", "target_loss", "background_loss", "difference"
+    alone = by_id(c.cross_entropy_difference(docs, own, size=size), *columns)
+    assert by_id(c.cross_entropy_difference(docs, own.unionAll(more), size=size), *columns) == alone
+    some = by_id(c.cross_entropy_difference(docs, own, size=size, sample=5), *columns)
+    assert some[20][1] > alone[20][1]
