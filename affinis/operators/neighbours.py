@@ -111,44 +111,67 @@ def _rows(ratings: DataFrame, entity: str, feature: str) -> DataFrame:
     return rows.dropna()
 
 
-def _short(rows: DataFrame) -> tuple[DataFrame, str, str]:
-    """``rows`` with ids as ints and ratings as floats where these hold every value, and their own types."""
+class Coded(NamedTuple):
+    """Ratings as short as they can be: ``rows`` of them, ``entry`` of an id and a rating in a list, and what it holds."""
+
+    rows: DataFrame
+    entry: Callable[[Column], Column]
+    id: Callable[[Column], Column]
+    r: Callable[[Column], Column]
+
+
+def _short(rows: DataFrame) -> Coded:
+    """``rows`` with ids as ints and ratings as floats where these hold every value.
+
+    Ids of 24 bits and whole or half ratings of up to 127 make one int together.
+    """
     kinds = dict(rows.dtypes)
     ids, values = kinds["id"] == "bigint", kinds["r"] == "double"
-    bound = 2**31 - 1
-    fits = F.every(F.col("id").between(-bound, bound)) if ids else F.lit(False)
+    bound, most = 2**31 - 1, 2**24 - 1
+    fits, packs = ([F.every(F.col("id").between(*b)) if ids else F.lit(False) for b in ((-bound, bound), (0, most))])
+    twice = F.col("r") * 2
     exact = F.every(F.col("r").cast("float").cast("double") == F.col("r")) if values else F.lit(False)
-    small, single = rows.agg(fits, exact).first()
+    halves = F.every(twice.between(0, 254) & (F.floor(twice) == twice)) if values else F.lit(False)
+    small, single, packed, coded = rows.agg(fits, exact, packs, halves).first()
     columns = {"id": F.col("id").cast("int")} if small else {}
     columns |= {"r": F.col("r").cast("float")} if single else {}
-    return rows.withColumns(columns) if columns else rows, kinds["id"], kinds["r"]
+    rows = rows.withColumns(columns) if columns else rows
+    if packed and coded:
+        return Coded(
+            rows,
+            lambda e: F.shiftleft(e["id"], 8).bitwiseOR((e["r"] * 2).cast("int")),
+            lambda e: F.shiftrightunsigned(e, 8).cast(kinds["id"]),
+            lambda e: e.bitwiseAND(F.lit(255)).cast(kinds["r"]) / 2,
+        )
+    return Coded(
+        rows,
+        lambda e: F.struct(e["id"].alias("id"), e["r"].alias("r")),
+        lambda e: e["id"].cast(kinds["id"]),
+        lambda e: e["r"].cast(kinds["r"]),
+    )
 
 
 def _packed_sums(rows: DataFrame, work: int, statistic: Statistic) -> DataFrame:
     """``statistic`` of all pairs in rows ``id, f, r`` whose groups of ``f`` fit in a task.
 
     A pair belongs to its side with fewer ratings.  Each feature sends every
-    entity one row with the entities after it in that order, as two arrays, and
+    entity one row with the entities after it in that order, as an array, and
     their pairs are written out and added up behind that one shuffle; partial
     sums of pairs, which seldom meet twice in one task, are never moved.  So an
     entity that all have in common receives only those with as many ratings.
     """
-    degrees = rows.groupBy("id").agg(F.count("*").alias("d"))
-    short, id_type, r_type = _short(rows)
-    ranked = short.join(degrees.withColumn("id", F.col("id").cast(dict(short.dtypes)["id"])), "id")
+    degrees = rows.groupBy("id").agg(F.count("*").cast("int").alias("d"))
+    short = _short(rows)
+    ranked = short.rows.join(degrees.withColumn("id", F.col("id").cast(dict(short.rows.dtypes)["id"])), "id")
     lists = by_key(ranked, ["f"]).groupBy("f").agg(F.array_sort(F.collect_list(F.struct("d", "id", "r"))).alias("l"))
-    lists = lists.filter(F.size("l") > 1).select(F.col("l.id").alias("ids"), F.col("l.r").alias("rs"))
-    rest = (F.col("at") + 2, F.size("ids"))
-    packed = lists.select("ids", "rs", F.posexplode("ids").alias("at", "id1")).filter(F.col("at") + 1 < F.size("ids"))
-    packed = packed.select(
-        "id1", F.get("rs", F.col("at")).alias("x"), F.slice("ids", *rest).alias("ids"), F.slice("rs", *rest).alias("rs")
-    )
+    lists = lists.filter(F.size("l") > 1).select(F.transform("l", short.entry).alias("l"))
+    later = F.slice("l", F.col("at") + 2, F.size("l")).alias("l")
+    packed = lists.select("l", F.posexplode("l").alias("at", "one")).filter(F.col("at") + 1 < F.size("l"))
+    packed = packed.select(short.id(F.col("one")).alias("id1"), short.r(F.col("one")).alias("x"), later)
     tasks = max(partitions(rows.sparkSession), min(work // 2 // TASK_PAIRS, MOST_TASKS))
-    dealt = packed.repartition(tasks, "id1").select("id1", "x", "rs", F.posexplode("ids").alias("at", "id2"))
-    own = {"id1": id_type, "id2": id_type, "x": r_type, "y": r_type}
-    pairs = dealt.filter("id1 <> id2").withColumn("y", F.get("rs", F.col("at")))
-    found = statistic.of(pairs.select("id1", "id2", *[F.col(c).cast(own[c]).alias(c) for c in ("x", "y")]))
-    return found.select(*[F.col(c).cast(own[c]) if c in own else F.col(c) for c in found.columns])
+    dealt = packed.repartition(tasks, "id1").select("id1", "x", F.explode("l").alias("other"))
+    pairs = dealt.select("id1", short.id(F.col("other")).alias("id2"), "x", short.r(F.col("other")).alias("y"))
+    return statistic.of(pairs.filter("id1 <> id2"))
 
 
 def co_rating_sums(

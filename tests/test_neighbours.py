@@ -249,3 +249,22 @@ def test_repeated_ratings_count_each_and_never_pair_with_themselves(ratings):
     rows = [(1, 1, 1.0), (1, 1, 2.0), (1, 2, 5.0), (2, 1, 3.0), (2, 2, 4.0), (2, 2, 4.0)]
     got = {(r.id1, r.id2): tuple(r)[2:] for r in co_rating_sums(ratings(rows), "user", "item").collect()}
     assert got == {(1, 2): (4, 13.0, 14.0, 49.0, 55.0, 50.0)}
+
+
+@pytest.mark.parametrize(
+    "id,rating,coded",
+    [(900, 0.0, True), (2**24 - 1, 127.0, True), (2**24, 3.5, False), (-1, 3.5, False), (900, 127.5, False), (900, 0.25, False)],
+)
+def test_common_ratings_are_one_number_each(ratings, id, rating, coded):
+    """Ids of 24 bits and half ratings go as one int, others as they are; sums are the same."""
+    rows = [(u, i, r) for u, i, r in random_ratings(7) if u not in (id, 0)] + [(id, 1, rating), (id, 2, 2.5), (0, 1, 0.5), (0, 2, 4.0)]
+    sums = co_rating_sums(ratings(rows), "user", "item")
+    plan = sums._jdf.queryExecution().optimizedPlan().toString()
+    assert ("shiftleft" in plan) == coded
+    kept, expected = {(u, i): r for u, i, r in rows}, {}
+    assert len(kept) == len(rows)
+    for (u, i), x in kept.items():
+        for v in {v for v, j in kept if j == i and v > u}:
+            y, s = kept[v, i], expected.setdefault((u, v), [0] * 6)
+            expected[u, v] = [a + b for a, b in zip(s, (1, x, y, x * y, x * x, y * y))]
+    assert {tuple(r)[:2]: list(tuple(r)[2:]) for r in sums.collect()} == {k: s for k, s in expected.items() if s[0] > 1}
