@@ -140,8 +140,8 @@ def _keys(band: Band, level: int, block: np.ndarray, value: np.ndarray) -> np.nd
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size, id and bit sketch of each document's set; and shingles frequent among the documents of a batch."""
-    names = ["doc_id", "n", "sid", "sketch", "short", "shingle", "seen"]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+    names = ["doc_id", "n", "sid", "sketch", "half", "short", "shingle", "seen"]
+    kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4, pa.int64(), pa.int64()]
     for batch in batches:
         _, offsets = text_bytes(batch.column(1))
         for a, b in row_groups(offsets):
@@ -149,15 +149,18 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = [s.size for s in sets]
             columns = [batch.column(0).slice(a, b - a), n, [set_id(s) if s.size else None for s in sets]]
             sketches = [bit_sketch(s) if s.size else None for s in sets]
-            short = [s and fold(np.frombuffer(s, np.uint8), SHORT).tobytes() for s in sketches]
-            columns += [sketches, short, [None] * len(n), [None] * len(n)]
+            half, short = (
+                [s and fold(np.frombuffer(s, np.uint8), max(SHORT, len(s) // 2) if whole else SHORT).tobytes() for s in sketches]
+                for whole in (True, False)
+            )
+            columns += [sketches, half, short, [None] * len(n), [None] * len(n)]
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names=names
             )
             value, count = np.unique(np.concatenate(sets), return_counts=True)
             often = count >= max(4, FREQUENT_SHARE * len(n))
             none = [None] * int(often.sum())
-            columns = [none, none, none, none, none, value[often].view(np.int64), count[often]]
+            columns = [none, none, none, none, none, none, value[often].view(np.int64), count[often]]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
@@ -422,13 +425,14 @@ def linked_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     described = stage(
         docs.mapInArrow(
-            _describe, "doc_id BIGINT, n BIGINT, sid BINARY, sketch BINARY, short BINARY, shingle BIGINT, seen BIGINT"
+            _describe,
+            "doc_id BIGINT, n BIGINT, sid BINARY, sketch BINARY, half BINARY, short BINARY, shingle BIGINT, seen BIGINT",
         )
     )
     rows = described.filter("n is not null")
     sets = rows.filter("n > 0").groupBy("sid").agg(
         F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-        F.first("short").alias("short"),
+        F.first("half").alias("half"), F.first("short").alias("short"),
     )
     frequent = spark.sparkContext.broadcast(_frequent(described, rows.count()))
     buckets = 8 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
@@ -440,12 +444,16 @@ def linked_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     # One member of each group against all others.
     pairs = members.filter("sid <> lead").select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b"))
     pairs = pairs.distinct()
-    sketches = stage(sets.select("sid", "n", "sketch", "short").join(members.select("sid").distinct(), "sid", "left_semi"))
-    for side in ("a", "b"):
-        own = sketches.select(F.col("sid").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}"))
-        pairs = pairs.join(own, side)
-    pairs = pairs.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_near_pairs, "a BINARY, b BINARY")
-    first = stage(pairs)
+    sketches = stage(sets.select("sid", "n", "sketch", "half", "short").join(members.select("sid").distinct(), "sid", "left_semi"))
+
+    def near(pairs: DataFrame) -> DataFrame:
+        """The pairs whose whole sketches are close enough."""
+        for side in ("a", "b"):
+            own = sketches.select(F.col("sid").alias(side), F.col("n").alias(f"n{side}"), F.col("sketch").alias(f"s{side}"))
+            pairs = pairs.join(own, side)
+        return pairs.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_near_pairs, "a BINARY, b BINARY")
+
+    first = stage(near(pairs))
     links = _verify(first, docs)
 
     # The others, where a group still has members of several components.
@@ -457,12 +465,13 @@ def linked_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p
         groups = stage(_open_groups(groups, roots))
         if groups.isEmpty():
             break
-        # A short sketch is enough to tell which is near.
-        known = sketches.select("sid", "n", F.col("short" if nearest else "sketch").alias("sketch"))
+        # A short sketch is enough to tell which is near, and half of one leaves few pairs for the whole.
+        known = sketches.select("sid", "n", F.col("short" if nearest else "half").alias("sketch"))
         cells = _cells(groups, part).join(known, "sid").select("grp", "x", "y", "own", "sid", "root", "n", "sketch")
         cells = cells.repartition("grp", "x", "y").sortWithinPartitions("grp", "x", "y")
         pairs = cells.mapInArrow(partial(_open_pairs, nearest), "a BINARY, b BINARY").distinct()
-        pairs = stage(pairs.join(done, ["a", "b"], "left_anti"))
+        pairs = pairs.join(done, ["a", "b"], "left_anti")
+        pairs = stage(pairs if nearest else near(pairs))
         if not pairs.isEmpty():
             done, links = done.unionAll(pairs), links.unionAll(_verify(pairs, docs))
             roots = stage(components(links)).withColumnRenamed("node", "sid")

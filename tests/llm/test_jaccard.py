@@ -150,3 +150,24 @@ def test_components(spark):
     df = spark.createDataFrame(links, "a BIGINT, b BIGINT")
     assert sorted(map(tuple, components(df).collect())) == sorted((x, find(x)) for x in root)
     assert components(df.limit(0)).count() == 0
+
+
+def test_half_of_a_sketch_leaves_no_near_pair_out():
+    rng = np.random.default_rng(12)
+    for n in (5, 80, 700):
+        x = rng.integers(0, 2**63, n).astype(np.uint64)
+        y = np.concatenate([x[n // 6 :], rng.integers(0, 2**63, n // 9).astype(np.uint64)])
+        whole = [np.frombuffer(j.bit_sketch(s), np.uint8) for s in (x, y)]
+        size = min(w.size for w in whole)
+        half = [j.fold(w, max(j.SHORT, w.size // 2)) for w in whole]
+        least = min(h.size for h in half)
+        near = [j._near(j.fold(a, k), j.fold(b, k), np.int64(x.size), np.int64(y.size)) for (a, b), k in ((whole, size), (half, least))]
+        assert near[1][0] <= near[0][0] and (near[1][1] or not near[0][1])
+
+
+def test_sketches_of_open_groups_are_half_as_long(spark, monkeypatch):
+    described = []
+    whole = j.stage
+    monkeypatch.setattr(j, "stage", lambda df: described.append(whole(df)) or described[-1])
+    j.linked_groups(frame(spark, [(k, passage(k, 300)) for k in range(3)]))
+    assert all(len(r.half) == max(j.SHORT, len(r.sketch) // 2) for r in described[0].filter("n > 0").collect())
