@@ -112,10 +112,11 @@ def _rows(ratings: DataFrame, entity: str, feature: str) -> DataFrame:
 
 
 class Coded(NamedTuple):
-    """Ratings as short as they can be: ``rows`` of them, ``entry`` of an id and a rating in a list, and what it holds."""
+    """Ratings as short as they can be: ``rows`` of them, the ``arrays`` that a list of ids and ratings is moved as, and the
+    id and rating in an entry of these."""
 
     rows: DataFrame
-    entry: Callable[[Column], Column]
+    arrays: dict[str, Callable[[Column], Column]]
     id: Callable[[Column], Column]
     r: Callable[[Column], Column]
 
@@ -123,7 +124,8 @@ class Coded(NamedTuple):
 def _short(rows: DataFrame) -> Coded:
     """``rows`` with ids as ints and ratings as floats where these hold every value.
 
-    Ids of 24 bits and whole or half ratings of up to 127 make one int together.
+    Ids of 24 bits and whole or half ratings of up to 127 make one int together; others are apart, as
+    an array of structs takes several times the bytes of two arrays.
     """
     kinds = dict(rows.dtypes)
     ids, values = kinds["id"] == "bigint", kinds["r"] == "double"
@@ -139,15 +141,15 @@ def _short(rows: DataFrame) -> Coded:
     if packed and coded:
         return Coded(
             rows,
-            lambda e: F.shiftleft(e["id"], 8).bitwiseOR((e["r"] * 2).cast("int")),
+            {"l": lambda e: F.shiftleft(e["id"], 8).bitwiseOR((e["r"] * 2).cast("int"))},
             lambda e: F.shiftrightunsigned(e, 8).cast(kinds["id"]),
             lambda e: e.bitwiseAND(F.lit(255)).cast(kinds["r"]) / 2,
         )
     return Coded(
         rows,
-        lambda e: F.struct(e["id"].alias("id"), e["r"].alias("r")),
-        lambda e: e["id"].cast(kinds["id"]),
-        lambda e: e["r"].cast(kinds["r"]),
+        {"l": lambda e: e["id"], "m": lambda e: e["r"]},
+        lambda e: e["l"].cast(kinds["id"]),
+        lambda e: e["m"].cast(kinds["r"]),
     )
 
 
@@ -164,12 +166,14 @@ def _packed_sums(rows: DataFrame, work: int, statistic: Statistic) -> DataFrame:
     short = _short(rows)
     ranked = short.rows.join(degrees.withColumn("id", F.col("id").cast(dict(short.rows.dtypes)["id"])), "id")
     lists = by_key(ranked, ["f"]).groupBy("f").agg(F.array_sort(F.collect_list(F.struct("d", "id", "r"))).alias("l"))
-    lists = lists.filter(F.size("l") > 1).select(F.transform("l", short.entry).alias("l"))
-    later = F.slice("l", F.col("at") + 2, F.size("l")).alias("l")
-    packed = lists.select("l", F.posexplode("l").alias("at", "one")).filter(F.col("at") + 1 < F.size("l"))
-    packed = packed.select(short.id(F.col("one")).alias("id1"), short.r(F.col("one")).alias("x"), later)
+    names = list(short.arrays)
+    lists = lists.filter(F.size("l") > 1).select(*[F.transform("l", entry).alias(name) for name, entry in short.arrays.items()])
+    entries = F.arrays_zip(*names) if len(names) > 1 else F.col("l")
+    later = [F.slice(name, F.col("at") + 2, F.size(name)).alias(name) for name in names]
+    packed = lists.select(*names, F.posexplode(entries).alias("at", "one")).filter(F.col("at") + 1 < F.size("l"))
+    packed = packed.select(short.id(F.col("one")).alias("id1"), short.r(F.col("one")).alias("x"), *later)
     tasks = max(partitions(rows.sparkSession), min(work // 2 // TASK_PAIRS, MOST_TASKS))
-    dealt = packed.repartition(tasks, "id1").select("id1", "x", F.explode("l").alias("other"))
+    dealt = packed.repartition(tasks, "id1").select("id1", "x", F.explode(entries).alias("other"))
     pairs = dealt.select("id1", short.id(F.col("other")).alias("id2"), "x", short.r(F.col("other")).alias("y"))
     return statistic.of(pairs.filter("id1 <> id2"))
 

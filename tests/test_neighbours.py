@@ -268,3 +268,13 @@ def test_common_ratings_are_one_number_each(ratings, id, rating, coded):
             y, s = kept[v, i], expected.setdefault((u, v), [0] * 6)
             expected[u, v] = [a + b for a, b in zip(s, (1, x, y, x * y, x * x, y * y))]
     assert {tuple(r)[:2]: list(tuple(r)[2:]) for r in sums.collect()} == {k: s for k, s in expected.items() if s[0] > 1}
+
+
+def test_real_ratings_are_moved_as_two_arrays(ratings):
+    from affinis.operators import neighbours as N
+
+    for value, kinds in ((0.5, ["array<int>"]), (0.1, ["array<int>", "array<double>"])):
+        short = N._short(N._rows(ratings([(1, 1, value), (2, 1, 4.0)]), "item", "user"))
+        listed = short.rows.groupBy("f").agg(N.F.collect_list(N.F.struct("id", "r")).alias("l"))
+        moved = listed.select(*[N.F.transform("l", entry).alias(name) for name, entry in short.arrays.items()])
+        assert [kind for _, kind in moved.dtypes] == kinds
